@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The jobs this library re-expresses are day-parameterised batches with no
+stream source, watermark, event-time window or stateful operator.  Late data
+is handled the batch way -- reject feeds are read from the run day's
+partition (``sources.scan_reject``) and ledger rows carry both
+``event_date`` and ``load_date`` -- so no streaming operator is provided.
+"""
