@@ -280,7 +280,7 @@ def flow_stage(charges: DataFrame, profile: DataFrame, current: DataFrame,
             + [C("allowance_sub_type").alias("allowance_subtype")]
             + [C(k) for k in _STAGE_KEYS_TAIL]
             + [C("charge"), C("event_date").cast("date").alias("event_date")])
-    out = rich.groupBy(*keys).agg(F.sum("alloc_tp").alias("rev"))
+    out = rich.groupBy(*keys).agg(F.sum("alloc_tp").cast(S.STAGE_MONEY).alias("rev"))
     return out.select(*[n for n, _ in S.STAGE_COLUMNS])
 
 
@@ -537,7 +537,7 @@ def flow_breakage(stage: DataFrame, ledger: DataFrame, billing: DataFrame,
     """
     staged = (scan_days(stage, p.days)
               .groupBy(*_BREAKAGE_KEYS)
-              .agg(F.sum("breakage").alias("breakage"))
+              .agg(F.sum("breakage").cast(S.MONEY).alias("breakage"))
               .withColumn("tag", F.lit(S.TAG_BREAKAGE)))
     seized_rows = scan_days(ledger, p.days).where(
         (F.substring("purchase_date", 1, 7) == F.lit(p.purchase_month))
@@ -550,7 +550,7 @@ def flow_breakage(stage: DataFrame, ledger: DataFrame, billing: DataFrame,
         classify_patterns("l3_allowance_type").alias("allowance"),
         "profile_name", "quota_name", "region_hlr", "event_date", "rev_seized")
         .groupBy(*_BREAKAGE_KEYS)
-        .agg(F.sum(reverse("rev_seized")).alias("breakage"))
+        .agg(F.sum(reverse("rev_seized")).cast(S.MONEY).alias("breakage"))
         .withColumn("tag", F.lit(S.TAG_BREAKAGE_SEIZED)))
     both = union_all([staged, seized]).groupBy(*_BREAKAGE_KEYS, "tag").agg(
         F.sum("breakage").alias("breakage"))

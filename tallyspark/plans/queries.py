@@ -324,15 +324,16 @@ def q_rate_allocate(spark, sf):
                       ("seized_rate", "allocation_rate"))
     return rated.select("event_date", "msisdn", "transaction_id", "allowance",
                         C("customer_sub_segment").alias("region"),
-                        (C("rev_per_usage") * C("seized_rate")).alias("seized"),
-                        (C("rev_per_usage") * C("allocation_rate")).alias("allocated"))
+                        (C("rev_per_usage") * C("seized_rate")).cast("decimal(38,6)").alias("seized"),
+                        (C("rev_per_usage") * C("allocation_rate")).cast("decimal(38,6)")
+                        .alias("allocated"))
 
 
 def q_count_distinct(spark, sf):
     pk = feeds(spark, sf).package
     return pk.groupBy("event_date", "msisdn", "transaction_id").agg(
         F.max(present_flag("transaction_id")).cast("int").alias("trx"),
-        F.sum("alloc_tp").alias("rev"))
+        F.sum("alloc_tp").cast(S.STAGE_MONEY).alias("rev"))
 
 
 def q_ledger_by_source(spark, sf):

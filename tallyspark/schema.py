@@ -191,7 +191,7 @@ STAGE_COLUMNS: list[tuple[str, str]] = [
     ("kelurahan", "string"),
     ("node_type", "string"),
     ("charge", "string"),
-    ("rev", "decimal(28,2)"),
+    ("rev", "decimal(38,2)"),
     ("event_date", "date"),
 ]
 
