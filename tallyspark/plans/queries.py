@@ -64,17 +64,38 @@ PARAMS = RunParams(load_date=D.LOAD_DATE, days=None, fallback_date=D.FALLBACK_DA
 # The promotion test stages a newer load of these days.
 PROMOTE_FROM = "2024-01-16"
 
-_FEEDS: dict[tuple[int, str], D.DriverFeeds] = {}
+_FEEDS: dict[tuple[str, str], D.DriverFeeds] = {}
 
 
 def feeds(spark: SparkSession, sf_dir: str) -> D.DriverFeeds:
+    """The derived feed tables of one scale factor, written once per session."""
     ensure_session_defaults(spark)
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _FEEDS:
         _FEEDS[key] = D.DriverFeeds(spark, sf_dir)
     return _FEEDS[key]
 
 
+def handoff(spark: SparkSession, sf_dir: str, name: str, build, partitions) -> DataFrame:
+    """A table one flow writes and a later flow reads (stage, ledger).
+
+    Written once per session with dynamic partition overwrite under the
+    shared work folder and read back with its schema -- the same hand-off
+    the daily jobs make through stored tables, and a lineage cut that
+    survives executor loss.
+    """
+    f = feeds(spark, sf_dir)
+    cache_key = f"__handoff_{name}"
+    if cache_key not in f._cache:
+        path = f"{f.root}/{name}"
+        schema = None
+        for df in build():
+            schema = df.schema
+            overwrite_partitions(df, path, partitions)
+        f._cache[cache_key] = read_target(spark, path, schema).select(*schema.names)
+    return f._cache[cache_key]
+
+
 # ------------------------------------------------------------------ flows
 def q_flow_charge(spark, sf):
     return flows.flow_charge(feeds(spark, sf).charge, PARAMS)
@@ -103,10 +124,15 @@ def _charge_offers(f: D.DriverFeeds) -> DataFrame:
                                      PARAMS)
 
 
+def stage_table(spark, sf) -> DataFrame:
+    """Package-charge stage (D5) as written for the package flow."""
+    return handoff(spark, sf, "stage", lambda: [q_flow_stage(spark, sf)], ["event_date"])
+
+
 def q_flow_package(spark, sf):
     f = feeds(spark, sf)
-    stage = q_flow_stage(spark, sf)
-    return flows.flow_package(stage, f.subscriber_offers, _charge_offers(f), PARAMS)
+    return flows.flow_package(stage_table(spark, sf), f.subscriber_offers, _charge_offers(f),
+                              PARAMS)
 
 
 def q_flow_accrual(spark, sf):
@@ -122,23 +148,19 @@ def q_flow_unmatched(spark, sf):
     return flows.flow_unmatched(f.billing, f.catalogue, PARAMS)
 
 
-def recognised_ledger(spark, sf) -> DataFrame:
-    """Ledger rows of the six usage tags, built by the flows in-plan."""
-    parts = [q_flow_charge(spark, sf), q_flow_seized(spark, sf), q_flow_upcc(spark, sf),
-             q_flow_unmatched(spark, sf), q_flow_package(spark, sf)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def seized_ledger(spark, sf) -> DataFrame:
-    return q_flow_seized(spark, sf).unionByName(q_flow_upcc(spark, sf))
+def ledger_table(spark, sf) -> DataFrame:
+    """The ledger as the upstream jobs leave it: usage charges, seized
+    balance, quota usage, unmatched billing and package charges, each
+    written into its own (load_date, event_date, source) partitions."""
+    def build():
+        return [q_flow_charge(spark, sf), q_flow_seized(spark, sf), q_flow_upcc(spark, sf),
+                q_flow_unmatched(spark, sf), q_flow_package(spark, sf)]
+    return handoff(spark, sf, "ledger", build, list(S.LEDGER_PARTITIONS))
 
 
 def q_flow_late_match(spark, sf):
     f = feeds(spark, sf)
-    return flows.flow_late_match(f.billing, f.catalogue, recognised_ledger(spark, sf), PARAMS)
+    return flows.flow_late_match(f.billing, f.catalogue, ledger_table(spark, sf), PARAMS)
 
 
 def q_flow_breakage_stage(spark, sf):
@@ -146,10 +168,15 @@ def q_flow_breakage_stage(spark, sf):
     return flows.flow_breakage_stage(f.package, f.profile, f.location, f.location, f.rates, PARAMS)
 
 
+def breakage_stage_table(spark, sf) -> DataFrame:
+    return handoff(spark, sf, "breakage_stage", lambda: [q_flow_breakage_stage(spark, sf)],
+                   ["event_date"])
+
+
 def q_flow_breakage(spark, sf):
     f = feeds(spark, sf)
-    stage = q_flow_breakage_stage(spark, sf)
-    return flows.flow_breakage(stage, seized_ledger(spark, sf), f.billing, f.rates, PARAMS)
+    return flows.flow_breakage(breakage_stage_table(spark, sf), ledger_table(spark, sf),
+                               f.billing, f.rates, PARAMS)
 
 
 # ------------------------------------------------------------------ scans
@@ -337,7 +364,7 @@ def q_count_distinct(spark, sf):
 
 
 def q_ledger_by_source(spark, sf):
-    ledger = recognised_ledger(spark, sf)
+    ledger = ledger_table(spark, sf)
     rows = ledger.where(C("source").isin(*S.LATE_MATCH_RECOGNISED_TAGS))
     return dedup_keys(rows, ["event_date", "source", "sigma_business_id"])
 
@@ -382,8 +409,7 @@ def q_promote(spark, sf):
 
 def q_key_lookup(spark, sf):
     f = feeds(spark, sf)
-    ledger = q_flow_charge(spark, sf).unionByName(q_flow_seized(spark, sf))
-    return key_totals(ledger, f.key_list)
+    return key_totals(ledger_table(spark, sf), f.key_list)
 
 
 def q_sample_filter(spark, sf):
@@ -438,3 +464,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flow_breakage_stage": q_flow_breakage_stage,
     "flow_breakage": q_flow_breakage,
 }
+
+
+def prepare(spark: SparkSession, sf_dir: str) -> None:
+    """Write every derived feed table and hand-off table up front (what the
+    upstream loads and jobs leave behind before a daily run)."""
+    f = feeds(spark, sf_dir)
+    for name in [*D.FEEDS, "rates"]:
+        f.feed(name)
+    stage_table(spark, sf_dir)
+    breakage_stage_table(spark, sf_dir)
+    ledger_table(spark, sf_dir)

@@ -465,14 +465,40 @@ RATE_EXPRS = [
 RATE_GAP = "NOT (r_name = 'AFRICA' AND allowance_type = 'VOICE')"
 
 
+# Partition columns of each derived feed table (the day the flows prune on).
+FEED_PARTITIONS: dict[str, tuple[str, ...]] = {
+    "expiry": ("expiry_date",),
+    "overusage": ("load_date",),
+    "voucher_target": (),
+    "voucher_source": (),
+}
+
+
 class DriverFeeds:
-    """Spark-side feeds over one scale factor's tables (lazy, cached per name)."""
+    """Spark-side feeds over one scale factor's tables.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    Each feed is derived once per session and written as a day-partitioned
+    parquet table under the shared work folder -- the shape the flows meet
+    in production, where feeds are partitioned tables -- then read back with
+    its schema, so scans show real partition pruning.  The key list is
+    written as a text file (one key per line).  With ``materialize=False``
+    the derivations are used directly as lazy DataFrames.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.materialize = materialize
         self.t = read_tables(spark, sf_dir)
         self._cache: dict[str, DataFrame] = {}
+        self._root: str | None = None
+
+    @property
+    def root(self) -> str:
+        if self._root is None:
+            from tallyspark.session import scratch_path
+            self._root = scratch_path(self.spark, "feeds")
+        return self._root
 
     def _usage_base(self) -> DataFrame:
         t = self.t
@@ -495,22 +521,40 @@ class DriverFeeds:
             return li.join(o, li["l_orderkey"] == o["o_orderkey"], "left")
         return self.t[{"part": "part", "orders": "orders", "customer": "customer"}[name]]
 
+    def derive(self, name: str) -> DataFrame:
+        """The lazy derivation of one feed from the driver tables."""
+        if name == "rates":
+            return self._rates()
+        spec = FEEDS[name]
+        base = self._base(spec.base)
+        if spec.where:
+            base = base.where(spec.where)
+        df = base.selectExpr(*[f"{e} AS {n}" for n, e in spec.expressions("spark")])
+        return df.distinct() if spec.distinct else df
+
     def feed(self, name: str) -> DataFrame:
         if name in self._cache:
             return self._cache[name]
-        if name == "rates":
-            df = self._rates()
-        else:
-            spec = FEEDS[name]
-            base = self._base(spec.base)
-            if spec.where:
-                base = base.where(spec.where)
-            df = base.selectExpr(*[f"{e} AS {n}" for n, e in spec.expressions("spark")])
-            if spec.distinct:
-                df = df.distinct()
+        df = self.derive(name)
+        if self.materialize:
+            df = self._write(name, df)
         self._cache[name] = df
         return df
 
+    def _write(self, name: str, df: DataFrame) -> DataFrame:
+        from tallyspark.operators.sinks import overwrite_partitions, read_target
+        path = f"{self.root}/{name}"
+        if name == "key_list":
+            df.select(F.col("msisdn").alias("value")).write.mode("overwrite").text(path)
+            from tallyspark.sources.scans import key_list
+            return key_list(self.spark, path)
+        parts = FEED_PARTITIONS.get(name, ("event_date",))
+        if parts:
+            overwrite_partitions(df, path, parts)
+        else:
+            df.write.mode("overwrite").parquet(path)
+        return read_target(self.spark, path, df.schema).select(*df.columns)
+
     def _rates(self) -> DataFrame:
         r = self.t["region"]
         classes = F.array(*[F.lit(c) for c in RATE_CLASSES])
