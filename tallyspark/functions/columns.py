@@ -85,9 +85,18 @@ def hex_epoch_millis(col: str | Column, start: int = 3, length: int = 11) -> Col
 
 
 def hex_epoch_day(col: str | Column, tz: str = S.ACCRUAL_TIMEZONE) -> Column:
-    """Local calendar day (``yyyy-MM-dd`` text) of the epoch hidden in an id."""
-    instant = F.timestamp_millis(hex_epoch_millis(col))
-    return F.date_format(F.from_utc_timestamp(instant, tz), "yyyy-MM-dd")
+    """Local calendar day (``yyyy-MM-dd`` text) of the epoch hidden in an id.
+
+    The UTC wall clock is built as a ``timestamp_ntz`` from whole days and
+    seconds of the epoch, then moved to ``tz`` with ``convert_timezone``, so
+    the result does not depend on the session time zone.
+    """
+    secs = F.floor(hex_epoch_millis(col) / F.lit(1000))
+    days = F.floor(secs / F.lit(86400))
+    utc = (F.date_from_unix_date(days.cast("int")).cast("timestamp_ntz")
+           + F.make_dt_interval(secs=(secs - days * F.lit(86400)).cast("decimal(18,6)")))
+    local = F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
+    return F.date_format(local, "yyyy-MM-dd")
 
 
 def day_shift(col: str | Column, days: int) -> Column:

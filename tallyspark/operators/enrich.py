@@ -30,17 +30,22 @@ def dedup_keys(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def top_ranked(df: DataFrame, partition_cols: Sequence[str], order_col: str,
-               ties: str = "all") -> DataFrame:
+               ties: str = "all", method: str = "window") -> DataFrame:
     """Rows holding the highest ``order_col`` within each partition.
 
     ``ties="all"`` keeps every row that shares the top value, exactly like
     ``rank() OVER (PARTITION BY p ORDER BY o DESC) = 1`` (nulls sort last, so
     a partition whose values are all null keeps all its rows).
 
-    It is computed as a grouped ``max`` joined back null-safely instead of a
-    window: the max is a partial aggregate (map-side combine) and the join
-    can be split by AQE when one key is hot, whereas a window must hold a
-    whole partition key in one task.
+    ``method="window"`` (default) is that rank filter: Spark plans it with a
+    partial ``WindowGroupLimit`` *before* the shuffle, so each map task only
+    ships its own top-ranked rows per key -- a hot key costs a handful of
+    rows per task, not its whole volume -- and the output stays hash
+    partitioned on ``partition_cols`` for a following join on them.
+    ``method="aggregate"`` computes a grouped ``max`` and joins it back
+    null-safely on (partition, value); use it when one key can have a huge
+    number of rows *tied* at the top value, since that join spreads them by
+    value.
 
     ``ties="one"`` keeps a single row per partition with a deterministic
     tie-break on every remaining column (``row_number``).
@@ -52,6 +57,9 @@ def top_ranked(df: DataFrame, partition_cols: Sequence[str], order_col: str,
         return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
     if ties != "all":
         raise ValueError("ties must be 'all' or 'one'")
+    if method == "window":
+        w = Window.partitionBy(*partition_cols).orderBy(F.col(order_col).desc_nulls_last())
+        return df.withColumn("__rnk", F.rank().over(w)).where("__rnk = 1").drop("__rnk")
     best = df.groupBy(*partition_cols).agg(F.max(order_col).alias(_BEST))
     b = best.alias("__b")
     d = df.alias("__d")
@@ -63,7 +71,7 @@ def top_ranked(df: DataFrame, partition_cols: Sequence[str], order_col: str,
 
 def lookup(left: DataFrame, right: DataFrame, left_on: Sequence[Column | str],
            right_on: Sequence[Column | str], how: str = "left",
-           spread_null_keys: bool = True) -> DataFrame:
+           spread_null_keys: bool = False) -> DataFrame:
     """Equi-join ``left`` to ``right`` on (possibly computed) keys.
 
     Output: every ``left`` column, then every ``right`` column except the
@@ -72,10 +80,14 @@ def lookup(left: DataFrame, right: DataFrame, left_on: Sequence[Column | str],
 
     ``spread_null_keys`` (left/inner joins): a left row with a null key can
     never match, but it still hashes to one shuffle partition, and a feed
-    with many missing subscriber keys would pile them into one task.  A salt
-    derived from the row's own values (deterministic, so task retries
-    reproduce the same shuffle) is added to the join key for exactly those
-    rows; the right side carries salt 0, so matching is unchanged.
+    with many missing keys would pile them into one task.  A salt derived
+    from the row's own values (deterministic, so task retries reproduce the
+    same shuffle) is added to the join key for exactly those rows; the right
+    side carries salt 0, so matching is unchanged.  It widens the join key,
+    so a right side already partitioned on the plain keys is re-shuffled:
+    use it where null keys are expected to be frequent (offer lookups by
+    subscriber and by charge-id prefix).  Elsewhere AQE's skew-join split of
+    the left side covers an oversized partition.
     """
     lk = [F.col(k) if isinstance(k, str) else k for k in left_on]
     rk_names = [k for k in right_on if isinstance(k, str)]

@@ -348,10 +348,12 @@ def attach_offers(stage_rows: DataFrame, subscriber_offers: DataFrame,
     by_sub = dedup_keys(scan_days(subscriber_offers, days).select(
         "event_date", "msisdn", C("provider_id").alias("sub_offer_id")),
         ["event_date", "msisdn", "sub_offer_id"])
-    out = lookup(stage_rows, by_sub, ["event_date", "msisdn"], ["event_date", "msisdn"])
+    out = lookup(stage_rows, by_sub, ["event_date", "msisdn"], ["event_date", "msisdn"],
+                 spread_null_keys=True)
     by_id = charge_offers.select(C("charging_id").alias("__charging_id"),
                                  C("offer_id").alias("chg_offer_id"))
-    out = lookup(out, by_id, [prefix("transaction_id", 32)], [prefix("__charging_id", 32)])
+    out = lookup(out, by_id, [prefix("transaction_id", 32)], [prefix("__charging_id", 32)],
+                 spread_null_keys=True)
     return out.drop("__charging_id")
 
 
@@ -558,7 +560,8 @@ def flow_breakage(stage: DataFrame, ledger: DataFrame, billing: DataFrame,
         scan_days(billing, p.days).where(C("pre_post_flag") == "1")
         .select("event_date", "msisdn", C("offer_id").alias("bill_offer_id")),
         ["event_date", "msisdn", "bill_offer_id"])
-    rich = lookup(both, offers, ["event_date", "msisdn"], ["event_date", "msisdn"])
+    rich = lookup(both, offers, ["event_date", "msisdn"], ["event_date", "msisdn"],
+                  spread_null_keys=True)
     rated = rate_join(rich, newest_rates(rates), "allowance", "region_sales",
                       ("allocation_rate",))
     mapping = {
