@@ -47,6 +47,7 @@ from tallyspark.operators import (
     read_target,
     semi_lookup,
     top_ranked,
+    union_all,
 )
 from tallyspark.plans import flows
 from tallyspark.plans.params import RunParams
@@ -153,8 +154,12 @@ def ledger_table(spark, sf) -> DataFrame:
     balance, quota usage, unmatched billing and package charges, each
     written into its own (load_date, event_date, source) partitions."""
     def build():
-        return [q_flow_charge(spark, sf), q_flow_seized(spark, sf), q_flow_upcc(spark, sf),
-                q_flow_unmatched(spark, sf), q_flow_package(spark, sf)]
+        # The five flows never share a (load_date, event_date, source)
+        # partition, so one dynamic overwrite of their union writes exactly
+        # what five separate job runs would, in one job.
+        parts = [q_flow_charge(spark, sf), q_flow_seized(spark, sf), q_flow_upcc(spark, sf),
+                 q_flow_unmatched(spark, sf), q_flow_package(spark, sf)]
+        return [union_all(parts)]
     return handoff(spark, sf, "ledger", build, list(S.LEDGER_PARTITIONS))
 
 
