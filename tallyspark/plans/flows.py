@@ -452,6 +452,16 @@ def flow_overusage(feed: DataFrame, p: RunParams) -> DataFrame:
 
 
 # ---------------------------------------------------------------- D9 / D10 billing
+def _ledger_rows(ledger: DataFrame, p: RunParams) -> DataFrame:
+    """Ledger rows of the run's days; with ``ledger_load_date`` only that load
+    (a day loaded twice is otherwise counted twice, T7)."""
+    rows = scan_days(ledger, p.days)
+    if p.ledger_load_date is not None:
+        rows = rows.where(C("load_date") == F.lit(p.ledger_load_date))
+    return rows
+
+
+
 def _catalogue_ids(catalogue: DataFrame, days) -> DataFrame:
     active = (scan_days(catalogue, days)
               .where((C("status_flag") == "Y") & (F.lower(C("ifrs_flag")) == "true")))
@@ -508,7 +518,7 @@ def flow_late_match(billing: DataFrame, catalogue: DataFrame, ledger: DataFrame,
     rows = semi_lookup(rows, _catalogue_ids(catalogue, p.days),
                        ["event_date", prefix("pack_id", 8)], ["event_date", "bid"])
     recognised = dedup_keys(
-        scan_days(ledger, p.days).where(C("source").isin(*S.LATE_MATCH_RECOGNISED_TAGS)),
+        _ledger_rows(ledger, p).where(C("source").isin(*S.LATE_MATCH_RECOGNISED_TAGS)),
         ["event_date", "sigma_business_id"])
     # The original compares the product id against every recognised id of the
     # day (T15); with a multi-day run the day is part of the key.
@@ -541,7 +551,7 @@ def flow_breakage(stage: DataFrame, ledger: DataFrame, billing: DataFrame,
               .groupBy(*_BREAKAGE_KEYS)
               .agg(F.sum("breakage").cast(S.MONEY).alias("breakage"))
               .withColumn("tag", F.lit(S.TAG_BREAKAGE)))
-    seized_rows = scan_days(ledger, p.days).where(
+    seized_rows = _ledger_rows(ledger, p).where(
         (F.substring("purchase_date", 1, 7) == F.lit(p.purchase_month))
         & C("source").isin(*S.SEIZED_TAGS) & (C("pre_post_flag") == 1))
     seized = (seized_rows.select(

@@ -24,3 +24,6 @@ class RunParams:
     offer_window: Days = None
     # partition holding today's rejects; None = current_date()
     run_date: str | None = None
+    # read only this load of the ledger in the flows that read it back (T7);
+    # None keeps the original behaviour: every load of the day counts
+    ledger_load_date: str | None = None

@@ -17,7 +17,8 @@ def spark():
     from tallyspark.session import build_session
     work = tempfile.mkdtemp(prefix="tallyspark-tests-")
     s = build_session("local[*]", 8, app_name="tallyspark-tests",
-                      extra={"spark.checkpoint.dir": f"{work}/checkpoints"})
+                      extra={"spark.checkpoint.dir": f"{work}/checkpoints",
+                             "spark.sql.warehouse.dir": f"{work}/warehouse"})
     yield s
     s.stop()
 

@@ -80,3 +80,31 @@ def test_key_list_skips_blank_lines_and_repeats(spark, tmp_target):
     with open(f"{path}/part-0.txt", "w") as fh:
         fh.write("628a\n\n628b\n   \n628a\n")
     assert sorted(r.msisdn for r in key_list(spark, path).collect()) == ["628a", "628b"]
+
+
+def test_catalog_tables_overwrite_promote_truncate_and_merge(spark):
+    """The same sinks on managed catalog tables (positional insertInto by the
+    target's column order, TRUNCATE of the staged table, merge into a table)."""
+    spark.sql("DROP TABLE IF EXISTS t_target")
+    spark.sql("DROP TABLE IF EXISTS t_staged")
+    frame(spark, [(1, "2024-01-01", "A"), (2, "2024-01-02", "A")]) \
+        .write.partitionBy("event_date").format("parquet").saveAsTable("t_target")
+    frame(spark, [(7, "2024-01-02", "S"), (8, "2024-01-03", "S")]) \
+        .write.partitionBy("event_date").format("parquet").saveAsTable("t_staged")
+    promote(spark, "t_staged", "t_target", ["event_date"], clear_source=True)
+    got = sorted((r.v, str(r.event_date)) for r in spark.table("t_target").collect())
+    assert got == [(1, "2024-01-01"), (7, "2024-01-02"), (8, "2024-01-03")]
+    assert spark.table("t_staged").count() == 0  # K5
+
+    overwrite_partitions(frame(spark, [(9, "2024-01-03", "Z")]).select("event_date", "source", "v"),
+                         "t_target", ["event_date"])
+    got = sorted((r.v, str(r.event_date)) for r in spark.table("t_target").collect())
+    assert got == [(1, "2024-01-01"), (7, "2024-01-02"), (9, "2024-01-03")]
+
+    spark.sql("DROP TABLE IF EXISTS t_voucher")
+    cols = "event_date string, sne string, redeem_state string, v int"
+    spark.createDataFrame([("d", "1", "3", 1), ("d", "2", "3", 2)], cols).write.saveAsTable("t_voucher")
+    source = spark.createDataFrame([("d", "2", "3", 20), ("d", "3", "3", 30)], cols)
+    merge_full_sync(spark, source, "t_voucher", ["event_date", "sne", "redeem_state"])
+    assert sorted(tuple(r) for r in spark.table("t_voucher").collect()) == \
+        [("d", "2", "3", 20), ("d", "3", "3", 30)]
