@@ -83,8 +83,8 @@ CHARGE_PREFIX = ("'PKG' || lpad(cast(user_id as string), 9, '0') || day_stamp "
                  "|| lpad(cast(k as string), 4, '0') || 'ABCDEFGH'")
 
 _GEO = [
-    ("area_sales", "region"),
-    ("region_sales", "nation"),
+    ("area_sales", "'AREA-' || region"),
+    ("region_sales", "region"),
     ("branch", "segment"),
     ("subbranch", "CASE WHEN event_type = 'error' THEN NULL WHEN event_type = 'view' THEN '' ELSE segment END"),
     ("cluster_sales", "CASE WHEN event_type = 'click' THEN '' ELSE nation END"),
