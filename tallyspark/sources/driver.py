@@ -286,7 +286,7 @@ FEEDS: dict[str, Feed] = {
         ("event_date", "event_date"), ("trx_date", "trx_date"),
         ("transaction_id", CHARGE_PREFIX + " || lpad(cast(event_id as string), 10, '0')"),
         ("sku", "'SKU-' || cast(k % 10 as string)"),
-        ("business_id", "lpad(cast(k as string), 6, '0')"),
+        ("business_id", "lpad(cast(k as string), 8, '0')"),
         ("rules_id", "'R-' || event_type"),
         ("msisdn", "msisdn"),
         ("non_usage_flag", "CASE WHEN event_type IN ('purchase', 'signup', 'view') THEN '1' ELSE '0' END"),
@@ -404,7 +404,7 @@ FEEDS: dict[str, Feed] = {
         ("content_id", "CASE WHEN l_returnflag = 'R' THEN lpad(cast(l_partkey as string), 8, '0') "
                        "ELSE lpad(cast(l_suppkey as string), 8, '0') || '-' || cast(l_linenumber as string) END"),
         ("pack_id", "lpad(cast(l_partkey as string), 8, '0') || lpad(cast(l_linenumber as string), 5, '0')"),
-        ("l1_name", "CASE WHEN l_linenumber <= 4 THEN 'Digital Services' ELSE 'Voice' END"),
+        ("l1_name", "CASE WHEN l_linenumber = 5 THEN 'Voice' ELSE 'Digital Services' END"),
         ("l2_name", "l_linestatus"),
         ("l3_name", "CASE l_linenumber WHEN 1 THEN NULL WHEN 2 THEN 'Phonebook Cloud Backup' "
                     "WHEN 3 THEN 'PHONEBOOK backup' ELSE 'Music ' || l_returnflag END"),

@@ -138,3 +138,21 @@ def test_ledger_load_date_limits_reread_loads(spark):
     pinned = RunParams(**{**PARAMS.__dict__, "ledger_load_date": D.LOAD_DATE})
     assert seized_total(PARAMS) == 2 * seized_total(pinned)
     assert seized_total(pinned) != 0
+
+
+def test_bindings_exercise_every_branch(spark):
+    """Guard against vacuous parity: each flow branch gets rows at sf0.01."""
+    sf = "/root/testdata/sf0.01"
+    q = E.queries()
+    upcc = {r.source for r in q["flow_upcc"](spark, sf).select("source").distinct().collect()}
+    assert upcc == {S.TAG_UPCC_SEIZED, S.TAG_UPCC_USAGE}
+    brk = {r.source for r in q["flow_breakage"](spark, sf).select("source").distinct().collect()}
+    assert brk == {S.TAG_BREAKAGE, S.TAG_BREAKAGE_SEIZED}
+    from tallyspark.plans.queries import ledger_table
+    f = feeds(spark, sf)
+    empty_ledger = spark.createDataFrame([], ledger_table(spark, sf).schema)
+    unexcluded = flows.flow_late_match(f.billing, f.catalogue, empty_ledger, PARAMS).count()
+    assert unexcluded > q["flow_late_match"](spark, sf).count() > 0
+    acts = {r.merge_action for r in q["merge_full_sync"](spark, sf).select("merge_action").distinct().collect()}
+    assert acts == {"insert", "update", "delete"}
+    assert f.seized.where("rev_seized >= 100000000000").count() > 0
