@@ -12,6 +12,7 @@ read back.
 
 from __future__ import annotations
 
+import threading
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,15 +67,17 @@ PARAMS = RunParams(load_date=D.LOAD_DATE, days=None, fallback_date=D.FALLBACK_DA
 PROMOTE_FROM = "2024-01-16"
 
 _FEEDS: dict[tuple[str, str], D.DriverFeeds] = {}
+_FEEDS_LOCK = threading.Lock()
 
 
 def feeds(spark: SparkSession, sf_dir: str) -> D.DriverFeeds:
     """The derived feed tables of one scale factor, written once per session."""
     ensure_session_defaults(spark)
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _FEEDS:
-        _FEEDS[key] = D.DriverFeeds(spark, sf_dir)
-    return _FEEDS[key]
+    with _FEEDS_LOCK:
+        if key not in _FEEDS:
+            _FEEDS[key] = D.DriverFeeds(spark, sf_dir)
+        return _FEEDS[key]
 
 
 def handoff(spark: SparkSession, sf_dir: str, name: str, build, partitions) -> DataFrame:
@@ -87,14 +90,15 @@ def handoff(spark: SparkSession, sf_dir: str, name: str, build, partitions) -> D
     """
     f = feeds(spark, sf_dir)
     cache_key = f"__handoff_{name}"
-    if cache_key not in f._cache:
-        path = f"{f.root}/{name}"
-        schema = None
-        for df in build():
-            schema = df.schema
-            overwrite_partitions(df, path, partitions)
-        f._cache[cache_key] = read_target(spark, path, schema).select(*schema.names)
-    return f._cache[cache_key]
+    with f.lock:
+        if cache_key not in f._cache:
+            path = f"{f.root}/{name}"
+            schema = None
+            for df in build():
+                schema = df.schema
+                overwrite_partitions(df, path, partitions)
+            f._cache[cache_key] = read_target(spark, path, schema).select(*schema.names)
+        return f._cache[cache_key]
 
 
 # ------------------------------------------------------------------ flows

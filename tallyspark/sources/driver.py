@@ -18,6 +18,7 @@ in pairs.
 
 from __future__ import annotations
 
+import threading
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -492,6 +493,8 @@ class DriverFeeds:
         self.t = read_tables(spark, sf_dir)
         self._cache: dict[str, DataFrame] = {}
         self._root: str | None = None
+        # one writer per table even when queries run from several threads
+        self.lock = threading.RLock()
 
     @property
     def root(self) -> str:
@@ -533,13 +536,14 @@ class DriverFeeds:
         return df.distinct() if spec.distinct else df
 
     def feed(self, name: str) -> DataFrame:
-        if name in self._cache:
-            return self._cache[name]
-        df = self.derive(name)
-        if self.materialize:
-            df = self._write(name, df)
-        self._cache[name] = df
-        return df
+        with self.lock:
+            if name in self._cache:
+                return self._cache[name]
+            df = self.derive(name)
+            if self.materialize:
+                df = self._write(name, df)
+            self._cache[name] = df
+            return df
 
     def _write(self, name: str, df: DataFrame) -> DataFrame:
         from tallyspark.operators.sinks import overwrite_partitions, read_target
