@@ -89,6 +89,13 @@ def lookup(left: DataFrame, right: DataFrame, left_on: Sequence[Column | str],
     subscriber and by charge-id prefix).  Elsewhere AQE's skew-join split of
     the left side covers an oversized partition.
     """
+    plain = (all(isinstance(k, str) for k in left_on) and list(left_on) == list(right_on))
+    if plain and not spread_null_keys:
+        # Native join on the shared column names: the output stays hash
+        # partitioned on them, so a following join on the same keys reuses
+        # that partitioning instead of shuffling the left side again.
+        return left.join(right, list(left_on), how).select(
+            *left.columns, *[c for c in right.columns if c not in left_on])
     lk = [F.col(k) if isinstance(k, str) else k for k in left_on]
     rk_names = [k for k in right_on if isinstance(k, str)]
     rk = [F.col(k) if isinstance(k, str) else k for k in right_on]

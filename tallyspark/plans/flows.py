@@ -45,7 +45,7 @@ from tallyspark.operators.enrich import (
 )
 from tallyspark.operators.ledger import ledger_rollup
 from tallyspark.plans.params import RunParams
-from tallyspark.sources.scans import day_predicate, scan_days, scan_reject
+from tallyspark.sources.scans import scan_days, scan_reject
 
 C = F.col
 
@@ -57,10 +57,6 @@ def _geo_filled(source_names: dict[str, str]) -> dict:
     return {dst: unknown_if_blank(src) for dst, src in source_names.items()}
 
 
-def _money_sum(col) -> F.Column:
-    return F.sum(col)
-
-
 # ---------------------------------------------------------------- D1 usage
 def flow_charge(feed: DataFrame, p: RunParams) -> DataFrame:
     """Usage charges -> ledger ``CHG``."""
@@ -101,7 +97,7 @@ def flow_charge(feed: DataFrame, p: RunParams) -> DataFrame:
         "source": S.TAG_CHG,
     }
     measures = {
-        "rev_per_usage": _money_sum("rev_per_usage"),
+        "rev_per_usage": F.sum("rev_per_usage"),
         "rev_seized": 0,
         "dur": F.sum("call_duration"),
         "trx": F.sum("event_allowance_consumed"),
@@ -180,7 +176,7 @@ def flow_seized(feed: DataFrame, p: RunParams) -> DataFrame:
         "region_hlr": C("region_hlr"), "city_hlr": C("city_hlr"),
         "load_date": p.load_date, "event_date": C("event_date"), "source": S.TAG_SEIZED,
     }
-    measures = {"rev_seized": _money_sum("rev_seized"), "trx": F.sum("remaining_quota")}
+    measures = {"rev_seized": F.sum("rev_seized"), "trx": F.sum("remaining_quota")}
     return ledger_rollup(rows, mapping, measures)
 
 
@@ -229,8 +225,8 @@ def flow_upcc(feed: DataFrame, p: RunParams) -> DataFrame:
                    .otherwise(F.lit(S.TAG_UPCC_USAGE)),
     }
     measures = {
-        "rev_per_usage": _money_sum("rev_per_usage"),
-        "rev_seized": _money_sum("rev_seized"),
+        "rev_per_usage": F.sum("rev_per_usage"),
+        "rev_seized": F.sum("rev_seized"),
         "trx": F.count(F.lit(1)),
         "vol": F.sum("quota_usage"),
     }
@@ -238,11 +234,17 @@ def flow_upcc(feed: DataFrame, p: RunParams) -> DataFrame:
 
 
 # ---------------------------------------------------------------- D5 / D11 enrichment
-def _ranked_location(location: DataFrame, days) -> DataFrame:
+def _ranked_location(location: DataFrame, days, per_day: bool = True) -> DataFrame:
     """Distinct location rows of the day(s), top ``lacci_id`` per
-    (day, subscriber), ties kept (A3 + W1)."""
+    (day, subscriber), ties kept (A3 + W1).
+
+    ``per_day=False`` is for a single-day read (the fallback snapshot): the
+    rank is then taken per subscriber alone -- the same rows -- so the
+    window's partitioning is exactly the subscriber-only join that follows.
+    """
     loc = dedup_keys(scan_days(location, days), ["event_date", "msisdn", *S.LOCATION_COLUMNS])
-    return top_ranked(loc, ["event_date", "msisdn"], "lacci_id", ties="all")
+    keys = ["event_date", "msisdn"] if per_day else ["msisdn"]
+    return top_ranked(loc, keys, "lacci_id", ties="all")
 
 
 def enrich_charges(charges: DataFrame, profile: DataFrame, current: DataFrame,
@@ -257,7 +259,9 @@ def enrich_charges(charges: DataFrame, profile: DataFrame, current: DataFrame,
         "cust_type_desc", "cust_subtype_desc", "customer_sub_segment")
     out = lookup(charges, prof, ["event_date", "msisdn"], ["event_date", "msisdn"])
     cur = _ranked_location(current, days)
-    fb = _ranked_location(fallback, fallback_date).drop("event_date")
+    if not isinstance(fallback_date, str):
+        raise ValueError("fallback_date must be one day (the prior-period partition)")
+    fb = _ranked_location(fallback, fallback_date, per_day=False).drop("event_date")
     return coalesce_sources(out, cur, fb, S.LOCATION_COLUMNS,
                             ["event_date", "msisdn"], ["msisdn"])
 
@@ -324,21 +328,25 @@ def offers_by_charge_id(usage: DataFrame, usage_rejects: DataFrame, voucher: Dat
                   & C("bid_flag").isNull())
     recharge_ok = F.upper(C("processing_code")).isin(*S.RECHARGE_PROCESSING_CODES)
 
-    def branch(df, cond, id_col, offer_col, label):
-        return dedup_keys(df.where(cond).select(
-            C(id_col).alias("charging_id"), F.lit(label).alias("offer_source"),
-            C(offer_col).alias("offer_id")), ["charging_id", "offer_source", "offer_id"])
-
-    return union_all([
-        branch(window(usage), usage_ok, "charging_id", "provider_id", S.OFFER_LABEL_USAGE),
-        branch(rejects(usage_rejects), usage_ok, "charging_id", "provider_id", S.OFFER_LABEL_USAGE),
-        branch(window(voucher), voucher_ok, "dc_order_id", "offer_id", S.OFFER_LABEL_VOUCHER),
-        branch(rejects(voucher_rejects), voucher_ok, "dc_order_id", "offer_id",
+    def branch(i, df, cond, id_col, offer_col, label):
+        return df.where(cond).select(
+            F.lit(i).alias("__branch"), C(id_col).alias("charging_id"),
+            F.lit(label).alias("offer_source"), C(offer_col).alias("offer_id"))
+
+    # Each branch is distinct, the union is not: de-duplicating once over
+    # (branch, row) gives exactly that, with one shuffle instead of six.
+    tagged = union_all([
+        branch(0, window(usage), usage_ok, "charging_id", "provider_id", S.OFFER_LABEL_USAGE),
+        branch(1, rejects(usage_rejects), usage_ok, "charging_id", "provider_id",
+               S.OFFER_LABEL_USAGE),
+        branch(2, window(voucher), voucher_ok, "dc_order_id", "offer_id", S.OFFER_LABEL_VOUCHER),
+        branch(3, rejects(voucher_rejects), voucher_ok, "dc_order_id", "offer_id",
                S.OFFER_LABEL_VOUCHER),
-        branch(window(recharge), recharge_ok, "dc_orderid", "offer_id", S.OFFER_LABEL_RECHARGE),
-        branch(rejects(recharge_rejects), recharge_ok, "dc_orderid", "offer_id",
+        branch(4, window(recharge), recharge_ok, "dc_orderid", "offer_id", S.OFFER_LABEL_RECHARGE),
+        branch(5, rejects(recharge_rejects), recharge_ok, "dc_orderid", "offer_id",
                S.OFFER_LABEL_RECHARGE),
     ])
+    return tagged.distinct().drop("__branch")
 
 
 def attach_offers(stage_rows: DataFrame, subscriber_offers: DataFrame,
@@ -383,7 +391,7 @@ def flow_package(stage: DataFrame, subscriber_offers: DataFrame, charge_offers:
         "region_hlr": C("region_hlr"),
         "load_date": p.load_date, "event_date": C("event_date"), "source": S.TAG_WISDOM,
     }
-    measures = {"rev_per_usage": _money_sum("rev"),
+    measures = {"rev_per_usage": F.sum("rev"),
                 "trx": F.max(present_flag("transaction_id"))}
     return ledger_rollup(rich, mapping, measures)
 
@@ -429,7 +437,7 @@ def flow_accrual(feed: DataFrame, p: RunParams) -> DataFrame:
         "event_date": day_shift("event_date", -1),
         "source": S.TAG_ACCRUAL,
     }
-    measures = {"rev_per_usage": _money_sum("rev"),
+    measures = {"rev_per_usage": F.sum("rev"),
                 "trx": F.max(present_flag("transaction_id"))}
     return ledger_rollup(rows, mapping, measures)
 
@@ -499,7 +507,7 @@ def flow_unmatched(billing: DataFrame, catalogue: DataFrame, p: RunParams) -> Da
     rows = anti_lookup(rows, _catalogue_ids(catalogue, p.days),
                        ["event_date", prefix("pack_id", 8)], ["event_date", "bid"])
     mapping = {**_billing_mapping(p, S.TAG_PAYU), "sigma_business_id": C("content_id")}
-    measures = {"rev_per_usage": _money_sum("rev"), "dur": F.sum("dur"),
+    measures = {"rev_per_usage": F.sum("rev"), "dur": F.sum("dur"),
                 "trx": F.sum("trx"), "vol": F.sum("vol")}
     return ledger_rollup(rows, mapping, measures)
 
@@ -597,8 +605,3 @@ def flow_breakage(stage: DataFrame, ledger: DataFrame, billing: DataFrame,
     }
     measures = {"rev_per_usage": F.sum(C("breakage") * C("allocation_rate"))}
     return ledger_rollup(rated, mapping, measures)
-
-
-def day_column_filter(col: str, days):
-    """Predicate helper re-exported for callers building their own scans."""
-    return day_predicate(col, days)

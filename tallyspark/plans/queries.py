@@ -299,9 +299,9 @@ def q_enrich_profile(spark, sf):
     return out.select("event_date", "msisdn", "transaction_id", "brand", "region_hlr", "alloc_tp")
 
 
-def _ranked(loc: DataFrame, days) -> DataFrame:
+def _ranked(loc: DataFrame, days, keys=("event_date", "msisdn")) -> DataFrame:
     d = dedup_keys(scan_days(loc, days), ["event_date", "msisdn", *S.LOCATION_COLUMNS])
-    return top_ranked(d, ["event_date", "msisdn"], "lacci_id")
+    return top_ranked(d, list(keys), "lacci_id")
 
 
 def q_rank_latest(spark, sf):
@@ -311,7 +311,7 @@ def q_rank_latest(spark, sf):
 def q_dual_location(spark, sf):
     f = feeds(spark, sf)
     cur = _ranked(f.location, None)
-    fb = _ranked(f.location, D.FALLBACK_DATE).drop("event_date")
+    fb = _ranked(f.location, D.FALLBACK_DATE, ("msisdn",)).drop("event_date")
     base = f.package.select("event_date", "msisdn", "transaction_id", "alloc_tp")
     return coalesce_sources(base, cur, fb, S.LOCATION_COLUMNS, ["event_date", "msisdn"],
                             ["msisdn"])
