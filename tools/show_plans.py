@@ -29,6 +29,31 @@ def main() -> None:
     print(f"# Physical plans (final adaptive plans, {sf}, local[8])\n")
     print("Generated by `tools/show_plans.py`. Scan lines list partition filters, pushed "
           "filters and how many columns each scan reads.\n")
+    print("## Shuffle and join counts per query\n")
+    print("`default`: the session defaults (AQE broadcasts sides measured under 10 MB). "
+          "`no broadcast`: broadcasting disabled, which approximates the plan at 100 TB where "
+          "profile, location, billing and ledger sides are far above any broadcast threshold "
+          "(rate table, catalogue and key list would still be broadcast there).\n")
+    print("| query | shuffles (default) | broadcast joins (default) | shuffles (no broadcast) "
+          "| sort-merge joins (no broadcast) |")
+    print("| --- | --- | --- | --- | --- |")
+    for name in E.queries():
+        if name in ("overwrite_partition", "merge_full_sync", "promote"):
+            continue
+        counts = []
+        for threshold in ("10485760", "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", threshold)
+            df = E.queries()[name](spark, sf)
+            df.write.format("noop").mode("overwrite").save()
+            df.collect()
+            final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+            counts.append((final.count("Exchange hashpartitioning"),
+                           final.count("BroadcastHashJoin"), final.count("SortMergeJoin")))
+        print(f"| {name} | {counts[0][0]} | {counts[0][1]} | {counts[1][0]} | {counts[1][2]} |")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "10485760")
+    print()
     for name in FLOWS:
         df = E.queries()[name](spark, sf)
         df.collect()  # the same query execution now holds the final adaptive plan
