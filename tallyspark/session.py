@@ -67,10 +67,13 @@ def work_dir(spark: SparkSession) -> str:
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir()
     if configured:
-        sc.setCheckpointDir(configured)
+        # Spark registers it at start-up; set it only if that did not happen
+        # (each setCheckpointDir call creates a new sub-folder).
+        if not current:
+            sc.setCheckpointDir(configured)
         return configured.rstrip("/")
-    current = sc.getCheckpointDir()
     if current:
         # Spark appends a per-application uuid folder; its parent is ours.
         return os.path.dirname(current.rstrip("/"))
