@@ -119,13 +119,14 @@ def merge_full_sync(spark: SparkSession, source: DataFrame, target: str, keys: S
 
 def promote(spark: SparkSession, source: str, target: str, partition_cols: Sequence[str],
             target_columns: Sequence[str] | None = None, schema: T.StructType | None = None,
-            clear_source: bool = False) -> None:
+            clear_source: bool = False, drop_source: bool = False) -> None:
     """Move a staged feed into its target by dynamic partition overwrite (K4).
 
     Both sides are refreshed first (S10) so cached file listings are not
     stale.  Columns are selected by the target's names (T11).  With
-    ``clear_source`` a catalog source is truncated afterwards (K5); path
-    sources are left in place.
+    ``clear_source`` a catalog source is truncated afterwards (K5), with
+    ``drop_source`` it is dropped (K6, off by default); path sources are
+    left in place.
     """
     for name in (source, target):
         if _is_path(name):
@@ -140,3 +141,5 @@ def promote(spark: SparkSession, source: str, target: str, partition_cols: Seque
     overwrite_partitions(staged.select(*cols), target, partition_cols)
     if clear_source and not _is_path(source):
         spark.sql(f"TRUNCATE TABLE {source}")
+    if drop_source and not _is_path(source):
+        spark.sql(f"DROP TABLE IF EXISTS {source}")

@@ -205,7 +205,9 @@ def q_scan_reject(spark, sf):
 
 
 def q_latest_snapshot(spark, sf):
-    return latest_snapshot(feeds(spark, sf).rates)
+    """Rows of the newest catalogue listing day (the same scan the rate table
+    gets inside the breakage flows, on a table that grows with the data)."""
+    return latest_snapshot(feeds(spark, sf).catalogue)
 
 
 # ------------------------------------------------------------------ filters / columns

@@ -95,6 +95,8 @@ def test_catalog_tables_overwrite_promote_truncate_and_merge(spark):
     got = sorted((r.v, str(r.event_date)) for r in spark.table("t_target").collect())
     assert got == [(1, "2024-01-01"), (7, "2024-01-02"), (8, "2024-01-03")]
     assert spark.table("t_staged").count() == 0  # K5
+    promote(spark, "t_staged", "t_target", ["event_date"], drop_source=True)
+    assert not spark.catalog.tableExists("t_staged")  # K6
 
     overwrite_partitions(frame(spark, [(9, "2024-01-03", "Z")]).select("event_date", "source", "v"),
                          "t_target", ["event_date"])
