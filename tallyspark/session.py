@@ -54,9 +54,13 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def ensure_session_defaults(spark: SparkSession) -> None:
-    """Apply the runtime SQL settings the flows rely on to a caller's session."""
+    """Apply the runtime SQL setting the sinks rely on to a caller's session.
+
+    The session time zone is left alone: day columns are dates, the test
+    feeds use ``timestamp_ntz`` and the epoch-to-local-day conversion is
+    zone-free.
+    """
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def work_dir(spark: SparkSession) -> str:

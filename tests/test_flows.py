@@ -156,3 +156,12 @@ def test_bindings_exercise_every_branch(spark):
     acts = {r.merge_action for r in q["merge_full_sync"](spark, sf).select("merge_action").distinct().collect()}
     assert acts == {"insert", "update", "delete"}
     assert f.seized.where("rev_seized >= 100000000000").count() > 0
+
+
+@pytest.mark.parametrize("name", ["flow_accrual", "hex_epoch_day", "scan_day", "flow_charge"])
+def test_results_do_not_depend_on_session_time_zone(spark, duck, name):
+    spark.conf.set("spark.sql.session.timeZone", "Pacific/Kiritimati")
+    try:
+        test_query_matches_oracle(spark, duck, name)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
