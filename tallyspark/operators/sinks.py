@@ -21,7 +21,8 @@ def _is_path(target: str) -> bool:
 
 
 def overwrite_partitions(df: DataFrame, target: str, partition_cols: Sequence[str],
-                         rebalance: bool = True) -> None:
+                         rebalance: bool = True,
+                         expected_partitions: Sequence[dict] | None = None) -> None:
     """Replace exactly the partitions present in ``df`` (dynamic overwrite).
 
     Partitions absent from ``df`` are untouched, and an empty ``df`` changes
@@ -29,7 +30,16 @@ def overwrite_partitions(df: DataFrame, target: str, partition_cols: Sequence[st
     columns: rows of one partition meet in few writers (few files), and AQE
     splits a partition that is much larger than the rest instead of letting
     one task write it all.
+
+    ``expected_partitions`` (catalog tables only): partition specs such as
+    ``{"load_date": "2025-04-03", "event_date": "2025-04-01", "source": "CHG"}``
+    that this run owns; any of them that received no rows is dropped, so a
+    re-run that lost all its rows leaves no stale data.  Finding the written
+    partitions costs one extra aggregate over ``df`` (cache ``df`` first if
+    it is expensive); only the distinct partition values reach the driver.
     """
+    if expected_partitions and _is_path(target):
+        raise ValueError("expected_partitions needs a catalog table target")
     out = df.hint("rebalance", *partition_cols) if rebalance else df
     if _is_path(target):
         (out.write.mode("overwrite")
@@ -41,6 +51,22 @@ def overwrite_partitions(df: DataFrame, target: str, partition_cols: Sequence[st
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         cols = spark.table(target).columns
         out.select(*cols).write.insertInto(target, overwrite=True)
+    if expected_partitions:
+        _drop_unwritten(df, target, partition_cols, expected_partitions)
+
+
+def _drop_unwritten(df: DataFrame, target: str, partition_cols: Sequence[str],
+                    expected: Sequence[dict]) -> None:
+    written = {tuple(str(v) for v in r)
+               for r in df.select(*[F.col(c).cast("string") for c in partition_cols])
+               .distinct().collect()}
+    spark = df.sparkSession
+    for spec in expected:
+        key = tuple(str(spec[c]) for c in partition_cols)
+        if key in written:
+            continue
+        parts = ", ".join(f"`{c}` = '{str(spec[c]).replace(chr(39), '')}'" for c in partition_cols)
+        spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({parts})")
 
 
 def read_target(spark: SparkSession, target: str, schema: T.StructType | None = None) -> DataFrame:

@@ -110,3 +110,19 @@ def test_catalog_tables_overwrite_promote_truncate_and_merge(spark):
     merge_full_sync(spark, source, "t_voucher", ["event_date", "sne", "redeem_state"])
     assert sorted(tuple(r) for r in spark.table("t_voucher").collect()) == \
         [("d", "2", "3", 20), ("d", "3", "3", 30)]
+
+
+def test_expected_partitions_drop_stale_ones_on_catalog_tables(spark):
+    """A re-run that lost all rows of a partition it owns removes it."""
+    spark.sql("DROP TABLE IF EXISTS t_owned")
+    frame(spark, [(1, "2024-01-01", "A"), (2, "2024-01-02", "A")]) \
+        .write.partitionBy("event_date").format("parquet").saveAsTable("t_owned")
+    rerun = frame(spark, [(5, "2024-01-01", "A")]).select("v", "source", "event_date")
+    overwrite_partitions(rerun, "t_owned", ["event_date"],
+                         expected_partitions=[{"event_date": "2024-01-01"},
+                                              {"event_date": "2024-01-02"}])
+    got = sorted((r.v, str(r.event_date)) for r in spark.table("t_owned").collect())
+    assert got == [(5, "2024-01-01")]
+    with pytest.raises(ValueError, match="catalog"):
+        overwrite_partitions(rerun, "/tmp/not-a-table", ["event_date"],
+                             expected_partitions=[{"event_date": "2024-01-02"}])
