@@ -6,6 +6,7 @@ from tallyspark.operators.enrich import (
     coalesce_sources,
     dedup_keys,
     lookup,
+    repeated_keys,
     semi_lookup,
     top_ranked,
     union_all,
@@ -23,6 +24,6 @@ from tallyspark.operators.sinks import (
 __all__ = [
     "anti_lookup", "coalesce_sources", "dedup_keys", "geo_unknown", "identity", "key_totals",
     "ledger_project", "ledger_rollup", "lookup", "merge_actions", "merge_full_sync",
-    "newest_rates", "overwrite_partitions", "promote", "rate_join", "read_target", "reverse",
+    "newest_rates", "overwrite_partitions", "promote", "rate_join", "read_target", "repeated_keys", "reverse",
     "semi_lookup", "top_ranked", "union_all", "unrated",
 ]

@@ -163,6 +163,19 @@ def coalesce_sources(df: DataFrame, current: DataFrame, fallback: DataFrame,
     return out.select(*keep, *merged)
 
 
+def repeated_keys(right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Audit for multiplying lookups (T2): the keys of a lookup side that
+    occur more than once, with how many rows each one has.
+
+    A left join against such a key repeats the left row once per match, so
+    sums downstream count it several times -- faithful to the original
+    joins, and made visible here.  A partial + final aggregate; nothing is
+    collected.
+    """
+    return (right.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows_per_key"))
+            .where(F.col("rows_per_key") > 1))
+
+
 def union_all(frames: Sequence[DataFrame], distinct: bool = False) -> DataFrame:
     """``UNION ALL`` by column name (U1/U2); ``distinct=True`` for UNION."""
     out = reduce(lambda a, b: a.unionByName(b), frames)

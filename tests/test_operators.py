@@ -20,6 +20,7 @@ from tallyspark.operators import (
     lookup,
     merge_actions,
     rate_join,
+    repeated_keys,
     semi_lookup,
     top_ranked,
     union_all,
@@ -201,3 +202,10 @@ def test_key_totals_counts_found_subscribers_and_dedups_keys(spark):
     keys = spark.createDataFrame([("m1",), ("m1",), ("m2",)], "msisdn string")
     got = {r.msisdn: (r.rev_per_usage, r.subscribers_found) for r in key_totals(ledger, keys).collect()}
     assert got == {"m1": (Decimal("3.0"), 1), "m2": (None, 0)}
+
+
+def test_repeated_keys_reports_multiplying_lookup_keys(spark):
+    right = spark.createDataFrame([("d", "m1", "o1"), ("d", "m1", "o2"), ("d", "m2", "o1")],
+                                  "event_date string, msisdn string, offer string")
+    got = {(r.msisdn, r.rows_per_key) for r in repeated_keys(right, ["event_date", "msisdn"]).collect()}
+    assert got == {("m1", 2)}
