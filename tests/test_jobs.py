@@ -46,3 +46,22 @@ def _day_params(day):
 def test_every_job_names_its_inputs():
     for name, spec in jobs.JOBS.items():
         assert spec.inputs and spec.partitions, name
+
+
+def test_promote_and_lookup_commands(spark, tmp_target):
+    for name in ("job_staged", "job_target"):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    f = feeds(spark, SMOKE_SF)
+    f.location.where("event_date < DATE'2024-01-05'").write.partitionBy("event_date") \
+        .format("parquet").saveAsTable("job_target")
+    f.location.where("event_date >= DATE'2024-01-03'").write.partitionBy("event_date") \
+        .format("parquet").saveAsTable("job_staged")
+    assert jobs.main(["promote", "--input", "source=job_staged", "--target", "job_target",
+                      "--partition", "event_date", "--clear-source"], spark=spark) == 0
+    assert spark.table("job_target").count() == f.location.count()
+    assert spark.table("job_staged").count() == 0
+    keys = tmp_target("keys")
+    f.key_list.write.text(keys)
+    ledger = tmp_target("ledger")
+    flows.flow_charge(f.charge, PARAMS).write.parquet(ledger)
+    assert jobs.main(["lookup", "--input", f"ledger={ledger}", "--keys", keys], spark=spark) == 0
