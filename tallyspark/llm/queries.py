@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tallyspark.llm import packing, token_counts, warc
+from tallyspark.llm import packing, simhash_dedup, token_counts, warc
 from tallyspark.session import scratch_path
 
 
@@ -21,6 +21,10 @@ def op5_token_counts(spark, sf):
     return token_counts.token_counts(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_simhash_dedup(spark, sf):
+    return simhash_dedup.near_duplicates(spark, table(spark, sf, "documents"), shingle=4, max_bits=4)
+
+
 def op10_warc(spark, sf):
     pages = table(spark, sf, "pages").select(
         "page_id", "url", F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"))
@@ -32,6 +36,7 @@ def op10_warc(spark, sf):
 QUERIES = {
     "op2_packing": op2_packing,
     "op5_token_counts": op5_token_counts,
+    "op7_simhash_dedup": op7_simhash_dedup,
     "op10_warc": op10_warc,
 }
 
