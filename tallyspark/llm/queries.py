@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tallyspark.llm import packing, simhash_dedup, token_counts, warc
+from tallyspark.llm import packing, pii, simhash_dedup, token_counts, warc
 from tallyspark.session import scratch_path
 
 
@@ -25,6 +25,10 @@ def op7_simhash_dedup(spark, sf):
     return simhash_dedup.near_duplicates(spark, table(spark, sf, "documents"), shingle=4, max_bits=4)
 
 
+def op9_pii(spark, sf):
+    return pii.personal_data(spark, table(spark, sf, "documents"))
+
+
 def op10_warc(spark, sf):
     pages = table(spark, sf, "pages").select(
         "page_id", "url", F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"))
@@ -37,6 +41,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op5_token_counts": op5_token_counts,
     "op7_simhash_dedup": op7_simhash_dedup,
+    "op9_pii": op9_pii,
     "op10_warc": op10_warc,
 }
 
