@@ -4,8 +4,9 @@ High-recall generators propose overlapping spans: every match of the base
 patterns, valid or not, and looser forms (numbers with other separators,
 addresses with a spelt-out at sign).  Every candidate gets format features
 and context features.  Boosted trees are grown on the driver from one bounded
-table: the distinct feature combinations of all candidates with their counts,
-a candidate counting as positive where it meets a valid base span.  The trees
+table: the distinct feature combinations of all labelled candidates with their
+counts.  Matches of base patterns are labelled by whether they meet a valid
+base span, looser forms only where they do.  The trees
 become one SQL expression; a threshold per generator, calibrated on documents
 held out of the growing, selects the spans to add.  Base spans always stay.
 
@@ -195,7 +196,9 @@ def threshold(scored: list[tuple[float, float, float]]) -> float:
 def model(spans: DataFrame) -> tuple[Column, float]:
     """The margin of a candidate as a column, and the calibrated threshold."""
     fold = (F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)) == 0).alias("held")
-    table = (spans.groupBy(fold, *FEATURES).agg(F.sum(F.col("met").cast("long")).alias("s"), F.count(F.lit(1)).alias("n"))
+    # A looser form that meets no valid span is what the model is to judge; it has no label.
+    labelled = spans.where(F.col("met") | F.col("generator").isin(*KINDS))
+    table = (labelled.groupBy(fold, *FEATURES).agg(F.sum(F.col("met").cast("long")).alias("s"), F.count(F.lit(1)).alias("n"))
              .collect())
     grown = [r for r in table if not r.held]
     trees = boosted([tuple(r[f] for f in FEATURES) for r in grown], [float(r.s) for r in grown], [float(r.n) for r in grown])
@@ -215,7 +218,7 @@ def personal_data(spark: SparkSession, docs: DataFrame) -> DataFrame:
     found = matches_table(spark, docs)
     spans = stored(spark, candidates(found), "pii-candidates")
     margin, least = model(spans)
-    loose = F.col("generator").isin(*LOOSE) & ~F.col("met") & (margin >= F.lit(least))
+    loose = F.col("generator").isin(*LOOSE) & ~F.col("met") & (margin >= F.lit(least - 1e-9))
     kept = spans.withColumn("added", loose).where("base OR added")
     kind = F.col("generator")
     for name, (_, reported) in LOOSE.items():
