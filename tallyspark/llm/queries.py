@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tallyspark.llm import packing, pii, simhash_dedup, token_counts, warc
+from tallyspark.llm import language_id, packing, pii, simhash_dedup, token_counts, warc
 from tallyspark.session import scratch_path
 
 
@@ -17,6 +17,10 @@ def op2_packing(spark, sf):
     return packing.pieces(spark, table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_language_id(spark, sf):
+    return language_id.language_id(spark, table(spark, sf, "documents"))
+
+
 def op5_token_counts(spark, sf):
     return token_counts.token_counts(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -34,11 +38,12 @@ def op10_warc(spark, sf):
         "page_id", "url", F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"))
     path = scratch_path(spark, "warc")
     warc.write_archives(warc.revisit_targets(pages), path)
-    return warc.resolved(warc.read_archives(spark, path))
+    return warc.resolved(warc.read_archives(spark, path, payloads=False))
 
 
 QUERIES = {
     "op2_packing": op2_packing,
+    "op4_language_id": op4_language_id,
     "op5_token_counts": op5_token_counts,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op9_pii": op9_pii,
