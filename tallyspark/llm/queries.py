@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tallyspark.llm import language_id, packing, pii, simhash_dedup, token_counts, warc
+from tallyspark.llm import ann, language_id, packing, pii, simhash_dedup, token_counts, warc
 from tallyspark.session import scratch_path
 
 
@@ -17,6 +17,10 @@ def op2_packing(spark, sf):
     return packing.pieces(spark, table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_ann(spark, sf):
+    return ann.neighbours(spark, table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0, top=20)
+
+
 def op4_language_id(spark, sf):
     return language_id.language_id(spark, table(spark, sf, "documents"))
 
@@ -43,6 +47,7 @@ def op10_warc(spark, sf):
 
 QUERIES = {
     "op2_packing": op2_packing,
+    "op3_ann": op3_ann,
     "op4_language_id": op4_language_id,
     "op5_token_counts": op5_token_counts,
     "op7_simhash_dedup": op7_simhash_dedup,
