@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tallyspark.llm import ann, language_id, packing, pii, simhash_dedup, token_counts, warc
+from tallyspark.llm import ann, decontamination, language_id, packing, pii, simhash_dedup, token_counts, warc
 from tallyspark.session import scratch_path
 
 
@@ -33,6 +33,10 @@ def op7_simhash_dedup(spark, sf):
     return simhash_dedup.near_duplicates(spark, table(spark, sf, "documents"), shingle=4, max_bits=4)
 
 
+def op8_decontamination(spark, sf):
+    return decontamination.leaks(spark, table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def op9_pii(spark, sf):
     return pii.personal_data(spark, table(spark, sf, "documents"))
 
@@ -51,6 +55,7 @@ QUERIES = {
     "op4_language_id": op4_language_id,
     "op5_token_counts": op5_token_counts,
     "op7_simhash_dedup": op7_simhash_dedup,
+    "op8_decontamination": op8_decontamination,
     "op9_pii": op9_pii,
     "op10_warc": op10_warc,
 }
