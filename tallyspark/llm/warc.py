@@ -43,6 +43,9 @@ RECORD_DATE = "2024-01-01T00:00:00Z"
 #: An empty gzip member; in ISO-8859-1 each of its bytes is one character.
 EMPTY_MEMBER = bytes.fromhex("1f8b08000000000000030300" + "00" * 8).decode("latin-1")
 
+#: Bytes of an archive given to the decompressor at once.
+FEED = 4096
+
 RECORD_FIELDS = """page_id long, url string, record_type string, refers_to long,
     payload_digest string, payload_bytes long, payload binary, complete boolean"""
 _SEGMENT_FIELDS = """origin string, number int, total long, page_id long, url string,
@@ -115,14 +118,20 @@ def page_records(page_id, url, payload: bytes, refers_to, name: str, segment_byt
 
 
 def _members(content: bytes) -> Iterator[bytes]:
-    """What each gzip member of an archive holds, empty members left out."""
-    view = memoryview(content)
-    while view:
-        inflate = zlib.decompressobj(31)
-        data = inflate.decompress(view)
-        if data:
+    """What each gzip member of an archive holds, empty members left out.
+
+    Fed in small pieces, since what follows a member's end is copied."""
+    view, at = memoryview(content), 0
+    while at < len(view):
+        inflate, parts = zlib.decompressobj(31), []
+        while not inflate.eof:
+            if at >= len(view):
+                raise ValueError("the archive ends inside a record")
+            piece = view[at:at + FEED]
+            parts.append(inflate.decompress(piece))
+            at += len(piece) - len(inflate.unused_data)
+        if data := b"".join(parts):
             yield data
-        view = view[len(view) - len(inflate.unused_data):]
 
 
 def _parse(member: bytes) -> tuple[dict, bytes]:
@@ -189,54 +198,60 @@ def write_archives(pages: DataFrame, path: str, segment_bytes: int = 32 << 10,
 
 
 # ------------------------------------------------------------------ reading
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """One row per page record of the archives under ``path``, decoded."""
-    def parse(batches):
-        for batch in batches:
-            for content in batch.column("content"):
-                rows = []
-                for fields, block in map(_parse, _members(content.as_py())):
-                    segment = _int(fields.get("warc-segment-number"))
-                    digest = fields.get("warc-payload-digest", "").removeprefix("sha1:")
-                    rows.append((fields.get("warc-segment-origin-id", fields["warc-record-id"]), segment,
-                                 _int(fields.get("warc-segment-total-length")), _int(fields.get("page-id")),
-                                 fields.get("warc-target-uri"), fields["warc-type"],
-                                 _int(fields.get("refers-to-page-id")),
-                                 base64.b32decode(digest).hex() if digest else None, block))
-                yield pa.RecordBatch.from_pylist(
-                    [dict(zip(schema.names, r, strict=True)) for r in rows], schema)
-
+def _records(content: bytes) -> Iterator[dict]:
+    """The page records and segments of one archive."""
+    for fields, block in map(_parse, _members(content)):
+        digest = fields.get("warc-payload-digest", "").removeprefix("sha1:")
+        yield {"origin": fields.get("warc-segment-origin-id", fields["warc-record-id"]),
+               "number": _int(fields.get("warc-segment-number")),
+               "total": _int(fields.get("warc-segment-total-length")),
+               "page_id": _int(fields.get("page-id")), "url": fields.get("warc-target-uri"),
+               "record_type": fields["warc-type"], "refers_to": _int(fields.get("refers-to-page-id")),
+               "digest": base64.b32decode(digest).hex() if digest else None, "block": block}
+
+
+def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """One row per page record of the archives under ``path``, decoded;
+    without ``payloads`` that column is null."""
     schema = pa.schema([("origin", pa.string()), ("number", pa.int32()), ("total", pa.int64()),
                         ("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()),
                         ("refers_to", pa.int64()), ("digest", pa.string()), ("block", pa.binary())])
-    files = spark.read.format("binaryFile").load(path).select("content")
-    segments = files.mapInArrow(parse, _SEGMENT_FIELDS)
 
-    def single(batches):
+    def contents(batches):
         for batch in batches:
-            yield _rows(batch.to_pylist())
+            for content in batch.column("content"):
+                yield content.as_py()
+
+    def single(batches):
+        for content in contents(batches):
+            yield _rows([r for r in _records(content) if r["number"] is None], payloads)
+
+    def segments(batches):
+        for content in contents(batches):
+            yield pa.RecordBatch.from_pylist([r for r in _records(content) if r["number"] is not None], schema)
 
     def joined(rows: pd.DataFrame) -> pd.DataFrame:
-        return reassembled(rows.sort_values("number").to_dict("records"))
+        return reassembled(rows.sort_values("number").to_dict("records"), payloads)
 
-    whole = segments.where("number IS NULL").mapInArrow(single, RECORD_FIELDS)
-    split = segments.where("number IS NOT NULL").groupBy("origin").applyInPandas(joined, RECORD_FIELDS)
+    files = spark.read.format("binaryFile").load(path).select("content")
+    whole = files.mapInArrow(single, RECORD_FIELDS)
+    split = files.mapInArrow(segments, _SEGMENT_FIELDS).groupBy("origin").applyInPandas(joined, RECORD_FIELDS)
     return whole.unionByName(split)
 
 
-def _rows(records: list[dict]) -> pa.RecordBatch:
+def _rows(records: list[dict], payloads: bool) -> pa.RecordBatch:
     out = []
     for r in records:
         payload, good = (None, True) if r["record_type"] == "revisit" else _decoded(r["block"], r["digest"])
         out.append((r["page_id"], r["url"], r["record_type"], r["refers_to"], r["digest"],
-                    None if payload is None else len(payload), payload, good))
+                    None if payload is None else len(payload), payload if payloads else None, good))
     names = ["page_id", "url", "record_type", "refers_to", "payload_digest", "payload_bytes", "payload", "complete"]
     kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.bool_()]
     return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 8, kinds, strict=True)],
                            names=names)
 
 
-def reassembled(parts: list[dict]) -> pd.DataFrame:
+def reassembled(parts: list[dict], payloads: bool = True) -> pd.DataFrame:
     """The record whose segments ``parts`` are, in the order of their numbers."""
     first, last = parts[0], parts[-1]
     block = b"".join(p["block"] for p in parts)
@@ -245,7 +260,7 @@ def reassembled(parts: list[dict]) -> pd.DataFrame:
     payload, good = _decoded(block, first["digest"]) if fine else (None, False)
     # objects, so that whole numbers stay whole beside nulls
     row = [first["page_id"], first["url"], first["record_type"], None, first["digest"],
-           None if payload is None else len(payload), payload, good]
+           None if payload is None else len(payload), payload if payloads else None, good]
     row[0] = None if pd.isna(row[0]) else int(row[0])
     return pd.DataFrame([row], dtype=object, columns=["page_id", "url", "record_type", "refers_to",
                         "payload_digest", "payload_bytes", "payload", "complete"])
