@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tallyspark.llm import ann, decontamination, language_id, packing, pii, simhash_dedup, token_counts, warc
+from tallyspark.llm import ann, decontamination, language_id, packing, pii, simhash_dedup, suffix_dedup, token_counts, warc
 from tallyspark.session import scratch_path
 
 
@@ -13,6 +13,10 @@ def table(spark, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark, sf):
+    return suffix_dedup.summary(spark, table(spark, sf, "documents"), length=200)
+
+
 def op2_packing(spark, sf):
     return packing.pieces(spark, table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -50,6 +54,7 @@ def op10_warc(spark, sf):
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_packing": op2_packing,
     "op3_ann": op3_ann,
     "op4_language_id": op4_language_id,
