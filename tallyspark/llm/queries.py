@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tallyspark.llm import ann, decontamination, language_id, packing, pii, simhash_dedup, suffix_dedup, token_counts, warc
+from tallyspark.llm import ann, decontamination, language_id, line_dedup, packing, pii, simhash_dedup, suffix_dedup, token_counts, warc
 from tallyspark.session import scratch_path
 
 
@@ -33,6 +33,10 @@ def op5_token_counts(spark, sf):
     return token_counts.token_counts(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op6_line_dedup(spark, sf):
+    return line_dedup.summary(spark, table(spark, sf, "documents"))
+
+
 def op7_simhash_dedup(spark, sf):
     return simhash_dedup.near_duplicates(spark, table(spark, sf, "documents"), shingle=4, max_bits=4)
 
@@ -59,6 +63,7 @@ QUERIES = {
     "op3_ann": op3_ann,
     "op4_language_id": op4_language_id,
     "op5_token_counts": op5_token_counts,
+    "op6_line_dedup": op6_line_dedup,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op8_decontamination": op8_decontamination,
     "op9_pii": op9_pii,
