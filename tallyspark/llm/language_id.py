@@ -27,6 +27,8 @@ UNDETERMINED = "und"
 SAMPLE_DOCS, WINDOWS, WINDOW = 400, 6, 48
 HIDDEN, STEPS, BATCH, RATE = 8, 220, 192, 0.02
 LANE, LANES = 128, 2048
+#: A document whose best language has less is of none of them.
+LEAST_SCORE = 0.4
 PREDICTIONS = "doc_id long, held_out boolean, lang_pred string, score double"
 
 
@@ -253,5 +255,24 @@ def predict(spark: SparkSession, docs: DataFrame, network: Network | None) -> Da
     return rows.mapInArrow(label, PREDICTIONS)
 
 
+def accepted(spark: SparkSession, docs: DataFrame, network: Network | None, least: float = LEAST_SCORE) -> DataFrame:
+    """The rows of ``docs`` with a determined language scored ``least`` or
+    more; without a network, those with a letter."""
+    shared = spark.sparkContext.broadcast(network)
+
+    def keep(batches):
+        net = shared.value
+        for batch in slices(batches):
+            usable = np.array([bool(x) for x in batch.column("__letters").to_pylist()], bool)
+            rows = np.flatnonzero(usable)
+            if net is not None and len(rows):
+                texts = batch.column("text").take(pa.array(rows)).cast(pa.binary()).to_pylist()
+                usable[rows] = net.pooled(texts).max(axis=1) >= least
+            yield batch.drop_columns(["__letters"]).filter(pa.array(usable))
+
+    letters = F.col("text").rlike(r"\p{L}").alias("__letters")
+    return docs.select(*docs.columns, letters).mapInArrow(keep, docs.schema)
+
+
 def language_id(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return predict(spark, docs, train(docs))
