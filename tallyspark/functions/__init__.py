@@ -5,7 +5,6 @@ from tallyspark.functions.columns import (
     day_shift,
     hex_epoch_day,
     hex_epoch_millis,
-    money,
     not_like_folded,
     nth_token,
     null_default_not_equal,
@@ -19,7 +18,7 @@ from tallyspark.functions.columns import (
 )
 
 __all__ = [
-    "classify_patterns", "day_shift", "hex_epoch_day", "hex_epoch_millis", "money",
+    "classify_patterns", "day_shift", "hex_epoch_day", "hex_epoch_millis",
     "not_like_folded", "nth_token", "null_default_not_equal", "padded_id", "prefix",
     "present_flag", "stamp_to_day_text", "tax_net", "to_int", "unknown_if_blank",
 ]

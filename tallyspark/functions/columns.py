@@ -101,11 +101,7 @@ def hex_epoch_day(col: str | Column, tz: str = S.ACCRUAL_TIMEZONE) -> Column:
 
 def day_shift(col: str | Column, days: int) -> Column:
     """Calendar day shift of a date (or date text)."""
-    return F.date_add(_c(col).cast("date"), days)
-
-
-def money(col: str | Column, type_name: str = S.MONEY) -> Column:
-    return _c(col).cast(type_name)
+    return F.date_add(_c(col).try_cast("date"), days)
 
 
 def tax_net(col: str | Column, divisor: str = S.TAX_DIVISOR) -> Column:

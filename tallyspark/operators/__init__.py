@@ -11,7 +11,7 @@ from tallyspark.operators.enrich import (
     top_ranked,
     union_all,
 )
-from tallyspark.operators.ledger import geo_unknown, identity, ledger_project, ledger_rollup
+from tallyspark.operators.ledger import ledger_project, ledger_rollup
 from tallyspark.operators.totals import key_totals
 from tallyspark.operators.sinks import (
     merge_actions,
@@ -22,7 +22,7 @@ from tallyspark.operators.sinks import (
 )
 
 __all__ = [
-    "anti_lookup", "coalesce_sources", "dedup_keys", "geo_unknown", "identity", "key_totals",
+    "anti_lookup", "coalesce_sources", "dedup_keys", "key_totals",
     "ledger_project", "ledger_rollup", "lookup", "merge_actions", "merge_full_sync",
     "newest_rates", "overwrite_partitions", "promote", "rate_join", "read_target", "repeated_keys", "reverse",
     "semi_lookup", "top_ranked", "union_all", "unrated",

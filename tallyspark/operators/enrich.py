@@ -86,8 +86,11 @@ def lookup(left: DataFrame, right: DataFrame, left_on: Sequence[Column | str],
     side carries salt 0, so matching is unchanged.  It widens the join key,
     so a right side already partitioned on the plain keys is re-shuffled:
     use it where null keys are expected to be frequent (offer lookups by
-    subscriber and by charge-id prefix).  Elsewhere AQE's skew-join split of
-    the left side covers an oversized partition.
+    subscriber and by charge-id prefix).  Elsewhere AQE splits an oversized
+    partition of the left side; for the second of two joins that share one
+    partitioning it does so only under
+    ``spark.sql.adaptive.forceOptimizeSkewedJoin``, which the session settings
+    of this library turn on.
     """
     plain = (all(isinstance(k, str) for k in left_on) and list(left_on) == list(right_on))
     if plain and not spread_null_keys:
@@ -123,25 +126,28 @@ def anti_lookup(left: DataFrame, right: DataFrame, left_on: Sequence[Column | st
     not rewrite the latter, and the anti join never widens the row.  Null
     keys on either side never match, so null-key left rows are kept.
     """
-    lk = [F.col(k) if isinstance(k, str) else k for k in left_on]
-    rk = [F.col(k) if isinstance(k, str) else k for k in right_on]
-    names = [f"__ak{i}" for i in range(len(lk))]
-    rgt = right.select(*[e.alias(n) for e, n in zip(rk, names)])
-    lft = left.select("*", *[e.alias(n + "_l") for e, n in zip(lk, names)])
-    cond = reduce(lambda a, b: a & b, [F.col(n + "_l") == F.col(n) for n in names])
-    return lft.join(rgt, cond, "left_anti").select(*left.columns)
+    return _half_join(left, right, left_on, right_on, "left_anti")
 
 
 def semi_lookup(left: DataFrame, right: DataFrame, left_on: Sequence[Column | str],
                 right_on: Sequence[Column | str]) -> DataFrame:
     """Left rows having at least one equal key on the right (left semi join)."""
-    lk = [F.col(k) if isinstance(k, str) else k for k in left_on]
+    return _half_join(left, right, left_on, right_on, "left_semi")
+
+
+def _half_join(left: DataFrame, right: DataFrame, left_on, right_on, how: str) -> DataFrame:
+    """Semi or anti join; with left keys given by name the output keeps their
+    partitioning, so a second one on the same keys shuffles only its right."""
+    names = [f"__hk{i}" for i in range(len(left_on))]
     rk = [F.col(k) if isinstance(k, str) else k for k in right_on]
-    names = [f"__sk{i}" for i in range(len(lk))]
     rgt = right.select(*[e.alias(n) for e, n in zip(rk, names)])
-    lft = left.select("*", *[e.alias(n + "_l") for e, n in zip(lk, names)])
+    if all(isinstance(k, str) for k in left_on):
+        cond = [left[k] == rgt[n] for k, n in zip(left_on, names)]
+        return left.join(rgt, reduce(lambda a, b: a & b, cond), how)
+    lft = left.select("*", *[(F.col(k) if isinstance(k, str) else k).alias(n + "_l")
+                             for k, n in zip(left_on, names)])
     cond = reduce(lambda a, b: a & b, [F.col(n + "_l") == F.col(n) for n in names])
-    return lft.join(rgt, cond, "left_semi").select(*left.columns)
+    return lft.join(rgt, cond, how).select(*left.columns)
 
 
 def coalesce_sources(df: DataFrame, current: DataFrame, fallback: DataFrame,

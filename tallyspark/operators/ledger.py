@@ -89,14 +89,3 @@ def ledger_rollup(df: DataFrame, mapping: Mapping[str, Value],
         else:
             cols.append(_typed(keys[name], t).alias(name))
     return grouped.select(*cols)
-
-
-def geo_unknown(mapping_source: Mapping[str, str]) -> dict[str, Column]:
-    """P4 over the geography block: ``{ledger_col: unknown_if_blank(feed_col)}``."""
-    from tallyspark.functions import unknown_if_blank
-    return {dst: unknown_if_blank(src) for dst, src in mapping_source.items()}
-
-
-def identity(*names: str) -> dict[str, Column]:
-    """Feed columns that keep their ledger name."""
-    return {n: F.col(n) for n in names}

@@ -87,6 +87,8 @@ LOCATION_COLUMNS: tuple[str, ...] = ("lacci_id",) + GEO_COLUMNS + ("node_type",)
 UNKNOWN = "UNKNOWN"
 MONEY = "decimal(38,15)"
 STAGE_MONEY = "decimal(38,2)"
+# Amounts before a rate product: their digits and a rate's fit decimal(38).
+WORK_MONEY = "decimal(28,8)"
 
 # --- fixed values: feed tags written to the ledger `source` partition ---
 TAG_CHG = "CHG"
@@ -160,6 +162,7 @@ def ledger_struct() -> T.StructType:
     return T.StructType([T.StructField(n, spark_type(t), True) for n, t in LEDGER_COLUMNS])
 
 
+# --- fixed values: the stage tables' columns, in table order ---
 # Package-charge stage (31 columns; `event_date` is its partition).
 STAGE_COLUMNS: list[tuple[str, str]] = [
     ("trx_date", "date"),

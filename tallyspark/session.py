@@ -11,8 +11,10 @@ checkpoint dir.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -24,14 +26,25 @@ CORE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Chained joins on one key keep its partitioning; without this Spark gives
+    # up splitting a hot key there, as the split changes that partitioning.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.ui.enabled": "false",
 }
 
 
+# Scratch folders by application, for ``drop_scratch``.
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "tallyspark", extra: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session with the settings the flows expect."""
+                  app_name: str = "tallyspark", extra: dict | None = None,
+                  hive: bool = False) -> SparkSession:
+    """Create (or reuse) a session with the settings the flows expect;
+    ``hive`` makes the tables of the cluster's metastore visible."""
     builder = SparkSession.builder.appName(app_name)
+    if hive:
+        builder = builder.enableHiveSupport()
     if master:
         builder = builder.master(master)
     conf = dict(CORE_CONF)
@@ -54,20 +67,38 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def ensure_session_defaults(spark: SparkSession) -> None:
-    """Apply the runtime SQL setting the sinks rely on to a caller's session.
+    """Apply the runtime SQL settings the sinks and joins rely on to a
+    caller's session.
 
     The session time zone is left alone: day columns are dates, the test
     feeds use ``timestamp_ntz`` and the epoch-to-local-day conversion is
     zone-free.
     """
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    for key in ("spark.sql.sources.partitionOverwriteMode",
+                "spark.sql.adaptive.forceOptimizeSkewedJoin"):
+        spark.conf.set(key, CORE_CONF[key])
+
+
+@contextmanager
+def overwrite_mode(spark: SparkSession, mode: str):
+    """Run a block under one partition overwrite mode, then restore the
+    caller's."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, mode)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for written hand-off tables and checkpoints.
 
     Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset
-    (local tests) is a fresh temporary folder created and registered.
+    (local tests) is a fresh temporary folder created and registered; on a
+    cluster that folder would be another one on every machine, so there an
+    unset checkpoint folder is an error.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
@@ -81,6 +112,10 @@ def work_dir(spark: SparkSession) -> str:
     if current:
         # Spark appends a per-application uuid folder; its parent is ours.
         return os.path.dirname(current.rstrip("/"))
+    master = sc.master or ""
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise RuntimeError(f"spark.checkpoint.dir is not set: under master {master!r} the work "
+                           "folder has to be one that all machines share")
     local = tempfile.mkdtemp(prefix="tallyspark-work-")
     sc.setCheckpointDir(local)
     return local
@@ -88,4 +123,19 @@ def work_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared work folder."""
-    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store the path names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete every scratch table this application made; call it when no
+    DataFrame read from one is needed any more."""
+    for path in _SCRATCH.pop(spark.sparkContext.applicationId, []):
+        delete_path(spark, path)

@@ -53,20 +53,35 @@ def scan_reject(df: DataFrame, run_date: str | None, window: Days,
     transaction date (S4).  ``run_date=None`` means ``current_date()``."""
     run_day = F.current_date() if run_date is None else F.lit(run_date).cast("date")
     out = df.where(F.col(partition_col) == run_day)
-    pred = day_predicate(F.col(trx_col).cast("date"), window)
+    pred = day_predicate(F.col(trx_col).try_cast("date"), window)
     return out if pred is None else out.where(pred)
 
 
-def latest_snapshot(df: DataFrame, col: str = "event_date") -> DataFrame:
+def newest_partition(spark: SparkSession, table: str, col: str = "event_date") -> str | None:
+    """Newest value of a catalog table's partition column, from the partition
+    list alone; None for paths and tables that are not partitioned by it."""
+    if "/" in table or ":" in table or col not in {
+            c.name for c in spark.catalog.listColumns(table) if c.isPartition}:
+        return None
+    specs = [r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    values = [dict(p.partition("=")[::2] for p in s.split("/")).get(col) for s in specs]
+    return max((v for v in values if v and v != "__HIVE_DEFAULT_PARTITION__"), default=None)
+
+
+def latest_snapshot(df: DataFrame, col: str = "event_date", newest: str | None = None) -> DataFrame:
     """Rows of the newest partition.
 
+    ``newest`` is that day where the caller has it from the partition list
+    (``newest_partition``); then no file is opened to find it.
+
     Written as a scalar subquery ``col = (SELECT max(col) ...)`` so that for a
     partitioned table the value lands in ``PartitionFilters`` and only the
     newest directory is read (the ``IN (subquery)`` form plans a semi join
     that reads every partition).
     """
-    newest = df.select(F.max(col)).scalar()
-    return df.where(F.col(col) == newest)
+    if newest is not None:
+        return df.where(F.col(col) == F.lit(newest).cast(df.schema[col].dataType))
+    return df.where(F.col(col) == df.select(F.max(col)).scalar())
 
 
 def key_list(spark: SparkSession, path: str, column: str = "msisdn") -> DataFrame:
