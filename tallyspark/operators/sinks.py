@@ -7,12 +7,16 @@ Targets are parquet directories or catalog tables.  Writes are by column
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyspark.session import delete_path, overwrite_mode, scratch_path
+
 ACTION = "merge_action"
 
 
@@ -21,54 +25,75 @@ def _is_path(target: str) -> bool:
 
 
 def overwrite_partitions(df: DataFrame, target: str, partition_cols: Sequence[str],
-                         rebalance: bool = True,
+                         rebalance: str | None = "partitions",
                          expected_partitions: Sequence[dict] | None = None) -> None:
     """Replace exactly the partitions present in ``df`` (dynamic overwrite).
 
     Partitions absent from ``df`` are untouched, and an empty ``df`` changes
-    nothing (T6).  ``rebalance`` adds a ``REBALANCE`` on the partition
-    columns: rows of one partition meet in few writers (few files), and AQE
-    splits a partition that is much larger than the rest instead of letting
-    one task write it all.
-
-    ``expected_partitions`` (catalog tables only): partition specs such as
-    ``{"load_date": "2025-04-03", "event_date": "2025-04-01", "source": "CHG"}``
-    that this run owns; any of them that received no rows is dropped, so a
-    re-run that lost all its rows leaves no stale data.  Finding the written
-    partitions costs one extra aggregate over ``df`` (cache ``df`` first if
-    it is expensive); only the distinct partition values reach the driver.
+    nothing (T6).  ``rebalance`` says how rows are dealt to the writers:
+
+    * ``"partitions"``: by the partition columns, so that one partition meets
+      in few writers; AQE splits one much larger than the rest;
+    * ``"rows"``: evenly, for a load of one or few partitions, which the
+      first way would send to one writer;
+    * ``None``: as they come, without a shuffle, for rows that already lie by
+      partition.
+
+    ``expected_partitions``: partition specs such as ``{"load_date":
+    "2025-04-03", "event_date": "2025-04-01", "source": "CHG"}`` that this run
+    owns; any of them that received no rows is dropped, so a re-run that lost
+    all its rows leaves no stale data.  Which ones were written is observed
+    during the write itself; only distinct partition values reach the driver.
     """
-    if expected_partitions and _is_path(target):
-        raise ValueError("expected_partitions needs a catalog table target")
-    out = df.hint("rebalance", *partition_cols) if rebalance else df
+    spark = df.sparkSession
+    out = df
+    if rebalance is not None:
+        out = out.hint("rebalance", *(partition_cols if rebalance == "partitions" else ()))
+    observed = Observation()
+    if expected_partitions:
+        values = F.collect_set(F.array(*[F.col(c).cast("string") for c in partition_cols]))
+        out = out.observe(observed, values.alias("written"))
     if _is_path(target):
         (out.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*partition_cols)
             .parquet(target))
     else:
-        spark = df.sparkSession
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        cols = spark.table(target).columns
-        out.select(*cols).write.insertInto(target, overwrite=True)
+        with overwrite_mode(spark, "dynamic"):
+            out.select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
     if expected_partitions:
-        _drop_unwritten(df, target, partition_cols, expected_partitions)
+        written = {tuple(v) for v in observed.get["written"]}
+        _drop_unwritten(spark, target, partition_cols, expected_partitions, written)
 
 
-def _drop_unwritten(df: DataFrame, target: str, partition_cols: Sequence[str],
-                    expected: Sequence[dict]) -> None:
-    written = {tuple(str(v) for v in r)
-               for r in df.select(*[F.col(c).cast("string") for c in partition_cols])
-               .distinct().collect()}
-    spark = df.sparkSession
+def _drop_unwritten(spark: SparkSession, target: str, partition_cols: Sequence[str],
+                    expected: Sequence[dict], written: set[tuple]) -> None:
     for spec in expected:
         key = tuple(str(spec[c]) for c in partition_cols)
         if key in written:
             continue
-        parts = ", ".join(f"`{c}` = '{str(spec[c]).replace(chr(39), '')}'" for c in partition_cols)
+        if _is_path(target):
+            name = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+            folder = "/".join(name.getPartitionPathString(c, v) for c, v in zip(partition_cols, key))
+            delete_path(spark, f"{target.rstrip('/')}/{folder}")
+            continue
+        parts = ", ".join(f"`{c}` = {_literal(v)}" for c, v in zip(partition_cols, key))
         spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({parts})")
 
 
+def _literal(value: str) -> str:
+    """A SQL string literal that means exactly ``value``."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def refresh(spark: SparkSession, name: str) -> None:
+    """Forget cached file listings of a path or table."""
+    if _is_path(name):
+        spark.catalog.refreshByPath(name)
+    elif spark.catalog.tableExists(name):
+        spark.catalog.refreshTable(name)
+
+
 def read_target(spark: SparkSession, target: str, schema: T.StructType | None = None) -> DataFrame:
     """Read a path or table back (with an explicit schema for paths, so
     partition values keep their declared types)."""
@@ -103,68 +128,93 @@ def merge_actions(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
     return joined.select(*values, action.alias(ACTION))
 
 
-def check_merge_source(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> None:
-    """Raise if two source rows match one target row (SQL MERGE refuses that).
+@dataclass(frozen=True)
+class MergeCounts:
+    """Rows a full-sync merge updated, inserted and deleted."""
+    update: int
+    insert: int
+    delete: int
 
-    Runs as a distributed aggregate; only the first offending key reaches
-    the driver.
-    """
-    src_keys = source.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys) or "true")
-    dup = (src_keys.groupBy(*keys).count().where(F.col("count") > 1)
-           .join(target.select(*keys).distinct(), list(keys), "left_semi"))
-    first = dup.limit(1).collect()
-    if first:
-        raise ValueError(f"merge source has several rows for one target row: {first[0].asDict()}")
-
-
-def merge_full_sync(spark: SparkSession, source: DataFrame, target: str, keys: Sequence[str],
-                    schema: T.StructType | None = None, allow_empty: bool = False) -> DataFrame:
-    """Apply update / insert / delete of a full-sync merge to ``target``.
-
-    The new content is materialised with a reliable ``checkpoint()`` (under
-    the shared checkpoint folder) before the overwrite, so the write never
-    reads the files it replaces and survives executor loss.  Returns the
-    tagged action rows (also checkpointed) for counting.  An empty source
-    would delete the whole target, so it is refused unless ``allow_empty``
-    (T8).
+
+def merge_full_sync(spark: SparkSession, source: DataFrame | str, target: str, keys: Sequence[str],
+                    partition_cols: Sequence[str] = (), schema: T.StructType | None = None,
+                    allow_empty: bool = False, clear_source: bool = False) -> MergeCounts:
+    """Apply update / insert / delete of a full-sync merge to ``target`` (K3).
+
+    With all three clauses the new content is the source's rows (T10), one
+    for every target row a key repeats on.  So only keys are joined, for the
+    counts and the checks, and the source is written over the whole target:
+    partitions that lost all their rows go with it and the layout by
+    ``partition_cols`` (a table's own, for catalog tables) stays.
+
+    Both sides are refreshed first (S10).  An empty source would delete the
+    whole target and is refused unless ``allow_empty`` (T8); several source
+    rows for one target row are refused (T9).  ``clear_source`` truncates a
+    catalog source once the target is written (K5); until then a run that
+    broke off can simply be repeated.
     """
-    from tallyspark.session import work_dir
-    work_dir(spark)
-    if not allow_empty and source.limit(1).count() == 0:
-        raise ValueError("empty merge source would delete every target row; pass allow_empty=True")
+    for name in (source, target):
+        if isinstance(name, str):
+            refresh(spark, name)
+    rows = read_target(spark, source, schema) if isinstance(source, str) else source
     current = read_target(spark, target, schema)
-    check_merge_source(source, current, keys)
-    actions = merge_actions(current, source.select(*current.columns), keys).checkpoint()
-    new_rows = actions.where(F.col(ACTION) != "delete").drop(ACTION)
+    s = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_s")).alias("s")
+    t = current.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_t")).alias("t")
+    same = reduce(lambda a, b: a & b, [F.col(f"s.{k}") == F.col(f"t.{k}") for k in keys])
+    matched = F.col("n_s").isNotNull() & F.col("n_t").isNotNull()
+    total = lambda n, where: F.coalesce(F.sum(F.when(where, F.col(n))), F.lit(0))
+    found = s.join(t, same, "full_outer").agg(
+        total("n_t", matched).alias("update"), total("n_s", F.col("n_t").isNull()).alias("insert"),
+        total("n_t", F.col("n_s").isNull()).alias("delete"), F.max(F.when(matched, F.col("n_t"))).alias("repeats"),
+        F.max(F.when(matched & (F.col("n_s") > 1), F.struct(*[F.col(f"s.{k}").cast("string") for k in keys]))).alias("twice"),
+    ).first()
+    if found.twice is not None:
+        raise ValueError(f"merge source has several rows for one target row: {found.twice.asDict()}")
+    if not allow_empty and not found["update"] and not found["insert"]:
+        raise ValueError("empty merge source would delete every target row; pass allow_empty=True")
+    rows = rows.select(*current.columns)
+    if (found.repeats or 1) > 1:
+        # written to a place of its own first: it reads the target
+        again = current.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+        rows = rows.join(again, list(keys), "left").select(
+            *current.columns, F.explode(F.sequence(F.lit(1), F.coalesce("__n", F.lit(1)))).alias("__i")).drop("__i")
+        staged = scratch_path(spark, "merge")
+        rows.write.parquet(staged)
+        rows = spark.read.schema(current.schema).parquet(staged)
     if _is_path(target):
-        new_rows.write.mode("overwrite").parquet(target)
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        (writer.partitionBy(*partition_cols) if partition_cols else writer).parquet(target)
     else:
-        new_rows.write.insertInto(target, overwrite=True)
-    return actions
+        with overwrite_mode(spark, "static"):
+            rows.write.insertInto(target, overwrite=True)
+    refresh(spark, target)
+    if clear_source and isinstance(source, str) and not _is_path(source):
+        spark.sql(f"TRUNCATE TABLE {source}")
+    return MergeCounts(found["update"], found["insert"], found["delete"])
 
 
 def promote(spark: SparkSession, source: str, target: str, partition_cols: Sequence[str],
             target_columns: Sequence[str] | None = None, schema: T.StructType | None = None,
-            clear_source: bool = False, drop_source: bool = False) -> None:
+            clear_source: bool = False, drop_source: bool = False,
+            rebalance: str | None = None) -> None:
     """Move a staged feed into its target by dynamic partition overwrite (K4).
 
-    Both sides are refreshed first (S10) so cached file listings are not
+    A staged feed laid out like its target is copied partition by partition
+    without a shuffle; ``rebalance`` deals the rows anew where it is not (see
+    ``overwrite_partitions``).  Both sides are refreshed first (S10) so cached file listings are not
     stale.  Columns are selected by the target's names (T11).  With
     ``clear_source`` a catalog source is truncated afterwards (K5), with
     ``drop_source`` it is dropped (K6, off by default); path sources are
     left in place.
     """
     for name in (source, target):
-        if _is_path(name):
-            spark.catalog.refreshByPath(name)
-        elif spark.catalog.tableExists(name):
-            spark.catalog.refreshTable(name)
+        refresh(spark, name)
     staged = read_target(spark, source, schema)
     cols = list(target_columns) if target_columns else staged.columns
     missing = [c for c in cols if c not in staged.columns]
     if missing:
         raise ValueError(f"staged feed lacks target columns: {missing}")
-    overwrite_partitions(staged.select(*cols), target, partition_cols)
+    overwrite_partitions(staged.select(*cols), target, partition_cols, rebalance)
     if clear_source and not _is_path(source):
         spark.sql(f"TRUNCATE TABLE {source}")
     if drop_source and not _is_path(source):

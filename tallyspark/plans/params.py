@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from tallyspark.schema import SEIZED_CAP
 from tallyspark.sources.scans import Days
 
 
@@ -27,3 +28,5 @@ class RunParams:
     # read only this load of the ledger in the flows that read it back (T7);
     # None keeps the original behaviour: every load of the day counts
     ledger_load_date: str | None = None
+    # seized amounts from here on are outliers and left out (D3)
+    seized_cap: int = SEIZED_CAP
