@@ -146,9 +146,10 @@ def flow_expiry(feed: DataFrame, p: RunParams) -> DataFrame:
 
 # ---------------------------------------------------------------- D3 seized
 def flow_seized(feed: DataFrame, p: RunParams) -> DataFrame:
-    """Seized balance -> ledger ``SEIZED`` (D3), with the outlier cap."""
+    """Seized balance -> ledger ``SEIZED`` (D3), without outliers of
+    ``p.seized_cap`` and more (``seized_outliers`` lists them)."""
     rows = (scan_days(feed, p.days)
-            .where((C("rev_seized") < F.lit(S.SEIZED_CAP)) & (C("pre_post_flag") == "1")))
+            .where((C("rev_seized") < F.lit(p.seized_cap)) & (C("pre_post_flag") == "1")))
     geo = {"area_sales": "area_sales", "region_sales": "region_sales", "branch": "branch",
            "subbranch": "sub_branch", "cluster_sales": "cluster_sales", "provinsi": "propinsi",
            "kabupaten": "kabupaten", "kecamatan": "kecamatan", "kelurahan": "kelurahan"}
@@ -180,6 +181,12 @@ def flow_seized(feed: DataFrame, p: RunParams) -> DataFrame:
     return ledger_rollup(rows, mapping, measures)
 
 
+def seized_outliers(feed: DataFrame, p: RunParams) -> DataFrame:
+    """Audit of D3: the prepaid rows its cap leaves out, null amounts included."""
+    over = C("rev_seized").isNull() | (C("rev_seized") >= F.lit(p.seized_cap))
+    return scan_days(feed, p.days).where(over & (C("pre_post_flag") == "1"))
+
+
 # ---------------------------------------------------------------- D4 quota
 def flow_upcc(feed: DataFrame, p: RunParams) -> DataFrame:
     """Quota usage -> ledger ``UPCC-SEIZED`` / ``UPCC_USAGE``.
@@ -234,17 +241,20 @@ def flow_upcc(feed: DataFrame, p: RunParams) -> DataFrame:
 
 
 # ---------------------------------------------------------------- D5 / D11 enrichment
-def _ranked_location(location: DataFrame, days, per_day: bool = True) -> DataFrame:
+def ranked_location(location: DataFrame, days, per_day: bool = True) -> DataFrame:
     """Distinct location rows of the day(s), top ``lacci_id`` per
     (day, subscriber), ties kept (A3 + W1).
 
+    Exact repeats share a rank, so ranking first and removing repeats after
+    gives the same rows, and the second step reuses the ranking's shuffle.
+
     ``per_day=False`` is for a single-day read (the fallback snapshot): the
     rank is then taken per subscriber alone -- the same rows -- so the
     window's partitioning is exactly the subscriber-only join that follows.
     """
-    loc = dedup_keys(scan_days(location, days), ["event_date", "msisdn", *S.LOCATION_COLUMNS])
+    cols = ["event_date", "msisdn", *S.LOCATION_COLUMNS]
     keys = ["event_date", "msisdn"] if per_day else ["msisdn"]
-    return top_ranked(loc, keys, "lacci_id", ties="all")
+    return dedup_keys(top_ranked(scan_days(location, days).select(*cols), keys, "lacci_id", ties="all"), cols)
 
 
 def enrich_charges(charges: DataFrame, profile: DataFrame, current: DataFrame,
@@ -258,19 +268,19 @@ def enrich_charges(charges: DataFrame, profile: DataFrame, current: DataFrame,
         "event_date", "msisdn", "brand", "region_hlr",
         "cust_type_desc", "cust_subtype_desc", "customer_sub_segment")
     out = lookup(charges, prof, ["event_date", "msisdn"], ["event_date", "msisdn"])
-    cur = _ranked_location(current, days)
+    cur = ranked_location(current, days)
     if not isinstance(fallback_date, str):
         raise ValueError("fallback_date must be one day (the prior-period partition)")
-    fb = _ranked_location(fallback, fallback_date, per_day=False).drop("event_date")
+    fb = ranked_location(fallback, fallback_date, per_day=False).drop("event_date")
     return coalesce_sources(out, cur, fb, S.LOCATION_COLUMNS,
                             ["event_date", "msisdn"], ["msisdn"])
 
 
-_STAGE_KEYS_HEAD = ["transaction_id", "sku", "business_id", "rules_id", "msisdn", "brand",
-                    "region_hlr", "non_usage_flag"]
-_STAGE_KEYS_TAIL = ["allowances_descriptions", "quota_name", "bonus_apps_id", "profile_name",
-                    "cust_type_desc", "cust_subtype_desc", "customer_sub_segment",
-                    *S.LOCATION_COLUMNS]
+def _stage_keys(columns: list[tuple[str, str]], measure: str, source: dict[str, str]) -> list:
+    """Group keys of a stage table in its own column order; ``source`` names
+    the enriched column where it differs."""
+    typed = {"trx_date": C("trx_date").try_cast("date"), "event_date": C("event_date").try_cast("date")}
+    return [typed.get(n, C(source.get(n, n))).alias(n) for n, _ in columns if n != measure]
 
 
 def flow_stage(charges: DataFrame, profile: DataFrame, current: DataFrame,
@@ -279,12 +289,8 @@ def flow_stage(charges: DataFrame, profile: DataFrame, current: DataFrame,
     rows = (scan_days(charges, p.days)
             .where((C("non_usage_flag") == "1") & (C("status") == S.PACKAGE_OK_STATUS)))
     rich = enrich_charges(rows, profile, current, fallback, p.days, p.fallback_date)
-    keys = ([C("trx_date").try_cast("date").alias("trx_date")]
-            + [C(k) for k in _STAGE_KEYS_HEAD]
-            + [C("allowance_sub_type").alias("allowance_subtype")]
-            + [C(k) for k in _STAGE_KEYS_TAIL]
-            + [C("charge"), C("event_date").cast("date").alias("event_date")])
-    out = rich.groupBy(*keys).agg(F.sum("alloc_tp").cast(S.STAGE_MONEY).alias("rev"))
+    keys = _stage_keys(S.STAGE_COLUMNS, "rev", {"allowance_subtype": "allowance_sub_type"})
+    out = rich.groupBy(*keys).agg(F.sum("alloc_tp").alias("rev"))
     return out.select(*[n for n, _ in S.STAGE_COLUMNS])
 
 
@@ -295,11 +301,7 @@ def flow_breakage_stage(charges: DataFrame, profile: DataFrame, current: DataFra
     rows = scan_days(charges, p.days).where(C("status") == S.PACKAGE_OK_STATUS)
     rich = enrich_charges(rows, profile, current, fallback, p.days, p.fallback_date)
     rich = rich.withColumn("allowance", classify_patterns("allowance_sub_type"))
-    keys = ([C("trx_date").try_cast("date").alias("trx_date")]
-            + [C(k) for k in _STAGE_KEYS_HEAD]
-            + [C("allowance"), C("allowance_sub_type")]
-            + [C(k) for k in _STAGE_KEYS_TAIL]
-            + [C("event_date").cast("date").alias("event_date")])
+    keys = _stage_keys(S.BREAKAGE_STAGE_COLUMNS, "breakage", {})
     key_names = [k for k, _ in S.BREAKAGE_STAGE_COLUMNS if k != "breakage"]
     pre = rich.groupBy(*keys).agg(F.sum("alloc_tp").alias("rev"))
     rated = rate_join(pre, newest_rates(rates), "allowance", "region_sales", ("seized_rate",))
@@ -452,9 +454,9 @@ def accrual_days(load_date: str):
 def flow_overusage(feed: DataFrame, p: RunParams) -> DataFrame:
     """Over-usage -> ledger ``OVERUSAGE`` (D8).  The feed is partitioned by
     ``load_date``; that day becomes both ``trx_date`` and ``event_date``."""
-    day = C("load_date").cast("date")
+    day = C("load_date").try_cast("date")
     rows = (scan_days(feed, p.days, "load_date")
-            .where((C("expiry_month").cast("date") > day) & (C("flag") == S.OVERUSAGE_FLAG)))
+            .where((C("expiry_month").try_cast("date") > day) & (C("flag") == S.OVERUSAGE_FLAG)))
     mapping = _expiry_like_mapping(p, day, S.TAG_OVERUSAGE)
     return ledger_rollup(rows, mapping, {"rev_per_usage": F.sum("pi_value_final")})
 
@@ -523,15 +525,16 @@ def flow_late_match(billing: DataFrame, catalogue: DataFrame, ledger: DataFrame,
             .where((C("pre_post_flag") == "1") & (C("l1_name") == S.LATE_MATCH_L1_NAME)
                    & not_like_folded("l3_name", S.EXCLUDED_L3_PATTERN)
                    & C("source").isin(*S.LATE_MATCH_SOURCES)))
-    rows = semi_lookup(rows, _catalogue_ids(catalogue, p.days),
-                       ["event_date", prefix("pack_id", 8)], ["event_date", "bid"])
+    # the product id is carried as a column, so both lookups share one shuffle
+    rows = rows.withColumn("pid", prefix("pack_id", 8))
+    rows = semi_lookup(rows, _catalogue_ids(catalogue, p.days), ["event_date", "pid"],
+                       ["event_date", "bid"])
     recognised = dedup_keys(
         _ledger_rows(ledger, p).where(C("source").isin(*S.LATE_MATCH_RECOGNISED_TAGS)),
         ["event_date", "sigma_business_id"])
     # The original compares the product id against every recognised id of the
     # day (T15); with a multi-day run the day is part of the key.
-    rows = anti_lookup(rows, recognised, ["event_date", prefix("pack_id", 8)],
-                       ["event_date", "sigma_business_id"])
+    rows = anti_lookup(rows, recognised, ["event_date", "pid"], ["event_date", "sigma_business_id"])
     mapping = {**_billing_mapping(p, S.TAG_WISDOM_NBP),
                "sigma_business_id": prefix("content_id", 8),
                "sigma_rules_id": F.substring("pack_id", 9, 5)}
@@ -553,11 +556,15 @@ def flow_breakage(stage: DataFrame, ledger: DataFrame, billing: DataFrame,
 
     Stage breakage plus the *reversed* seized revenue of the purchase month
     (A10/U2/A14), an offer per subscriber-day from billing (J5), then the
-    newest allocation rate per (class, region) (J10/A8).
+    newest allocation rate per (class, region) (J10/A8).  Amounts are held at
+    ``S.WORK_MONEY`` until the rate product, whose digits then all fit, and
+    widened to the ledger's type last (T22).
     """
+    if not p.purchase_month:
+        raise ValueError("purchase_month is required: without it no seized row is reversed")
     staged = (scan_days(stage, p.days)
               .groupBy(*_BREAKAGE_KEYS)
-              .agg(F.sum("breakage").cast(S.MONEY).alias("breakage"))
+              .agg(F.sum("breakage").cast(S.WORK_MONEY).alias("breakage"))
               .withColumn("tag", F.lit(S.TAG_BREAKAGE)))
     seized_rows = _ledger_rows(ledger, p).where(
         (F.substring("purchase_date", 1, 7) == F.lit(p.purchase_month))
@@ -570,10 +577,10 @@ def flow_breakage(stage: DataFrame, ledger: DataFrame, billing: DataFrame,
         classify_patterns("l3_allowance_type").alias("allowance"),
         "profile_name", "quota_name", "region_hlr", "event_date", "rev_seized")
         .groupBy(*_BREAKAGE_KEYS)
-        .agg(F.sum(reverse("rev_seized")).cast(S.MONEY).alias("breakage"))
+        .agg(F.sum(reverse(C("rev_seized").cast(S.WORK_MONEY))).cast(S.WORK_MONEY).alias("breakage"))
         .withColumn("tag", F.lit(S.TAG_BREAKAGE_SEIZED)))
     both = union_all([staged, seized]).groupBy(*_BREAKAGE_KEYS, "tag").agg(
-        F.sum("breakage").alias("breakage"))
+        F.sum("breakage").cast(S.WORK_MONEY).alias("breakage"))
     offers = dedup_keys(
         scan_days(billing, p.days).where(C("pre_post_flag") == "1")
         .select("event_date", "msisdn", C("offer_id").alias("bill_offer_id")),

@@ -40,6 +40,7 @@ from tallyspark.operators import (
     ledger_project,
     ledger_rollup,
     lookup,
+    merge_actions,
     merge_full_sync,
     newest_rates,
     overwrite_partitions,
@@ -47,14 +48,13 @@ from tallyspark.operators import (
     rate_join,
     read_target,
     semi_lookup,
-    top_ranked,
     union_all,
 )
 from tallyspark.plans import flows
 from tallyspark.plans.params import RunParams
 from tallyspark.session import ensure_session_defaults, scratch_path
 from tallyspark.sources import driver as D
-from tallyspark.sources.scans import latest_snapshot, scan_day, scan_days, scan_range, scan_reject
+from tallyspark.sources.scans import latest_snapshot, scan_day, scan_range, scan_reject
 
 C = F.col
 
@@ -63,6 +63,8 @@ DAY = "2024-01-15"
 RANGE = ("2024-01-10", "2024-01-20")
 PARAMS = RunParams(load_date=D.LOAD_DATE, days=None, fallback_date=D.FALLBACK_DATE,
                    purchase_month=D.PURCHASE_MONTH, offer_window=None, run_date=D.RUN_DATE)
+# Load day of the daily accrual run; it reads the day before.
+ACCRUAL_LOAD = "2024-01-16"
 # The promotion test stages a newer load of these days.
 PROMOTE_FROM = "2024-01-16"
 
@@ -301,19 +303,14 @@ def q_enrich_profile(spark, sf):
     return out.select("event_date", "msisdn", "transaction_id", "brand", "region_hlr", "alloc_tp")
 
 
-def _ranked(loc: DataFrame, days, keys=("event_date", "msisdn")) -> DataFrame:
-    d = dedup_keys(scan_days(loc, days), ["event_date", "msisdn", *S.LOCATION_COLUMNS])
-    return top_ranked(d, list(keys), "lacci_id")
-
-
 def q_rank_latest(spark, sf):
-    return _ranked(feeds(spark, sf).location, None)
+    return flows.ranked_location(feeds(spark, sf).location, None)
 
 
 def q_dual_location(spark, sf):
     f = feeds(spark, sf)
-    cur = _ranked(f.location, None)
-    fb = _ranked(f.location, D.FALLBACK_DATE, ("msisdn",)).drop("event_date")
+    cur = flows.ranked_location(f.location, None)
+    fb = flows.ranked_location(f.location, D.FALLBACK_DATE, per_day=False).drop("event_date")
     base = f.package.select("event_date", "msisdn", "transaction_id", "alloc_tp")
     return coalesce_sources(base, cur, fb, S.LOCATION_COLUMNS, ["event_date", "msisdn"],
                             ["msisdn"])
@@ -371,7 +368,7 @@ def q_count_distinct(spark, sf):
     pk = feeds(spark, sf).package
     return pk.groupBy("event_date", "msisdn", "transaction_id").agg(
         F.max(present_flag("transaction_id")).cast("int").alias("trx"),
-        F.sum("alloc_tp").cast(S.STAGE_MONEY).alias("rev"))
+        F.sum("alloc_tp").alias("rev"))
 
 
 def q_ledger_by_source(spark, sf):
@@ -395,27 +392,103 @@ def q_overwrite_partition(spark, sf):
 
 
 def q_merge_full_sync(spark, sf):
+    """What the merge does to each row, by action."""
+    f = feeds(spark, sf)
+    return merge_actions(f.voucher_target, f.voucher_source, list(S.VOUCHER_MERGE_KEYS))
+
+
+def q_merge_target(spark, sf):
+    """A day-partitioned target after the merge, read back."""
     f = feeds(spark, sf)
     target = scratch_path(spark, "voucher")
-    cols = [c for c in f.voucher_target.columns]
-    f.voucher_target.select(*cols).write.mode("overwrite").parquet(target)
-    return merge_full_sync(spark, f.voucher_source.select(*cols), target,
-                           list(S.VOUCHER_MERGE_KEYS))
+    overwrite_partitions(f.voucher_target, target, ["event_date"])
+    merge_full_sync(spark, f.voucher_source, target, list(S.VOUCHER_MERGE_KEYS), ["event_date"],
+                    f.voucher_target.schema)
+    return read_target(spark, target, f.voucher_target.schema).select(*f.voucher_target.columns)
+
+
+def _promoted(spark, rows: DataFrame, earlier: str, day_col: str, keys: list[str]) -> DataFrame:
+    """An earlier load holding only the ``earlier`` rows, then a full reload
+    of the later days staged and promoted by the partition ``keys``."""
+    target, staged = scratch_path(spark, "promoted"), scratch_path(spark, "staged")
+    overwrite_partitions(rows.where(earlier), target, keys)
+    overwrite_partitions(rows.where(C(day_col) >= F.lit(PROMOTE_FROM).cast("date")), staged, keys)
+    promote(spark, staged, target, keys, target_columns=rows.columns, schema=rows.schema)
+    return read_target(spark, target, rows.schema).select(*rows.columns)
 
 
 def q_promote(spark, sf):
+    return _promoted(spark, feeds(spark, sf).location, "node_type != 'error'", "event_date", ["event_date"])
+
+
+def q_promote_two_keys(spark, sf):
+    """Keyed by event day and load day (M5, M6)."""
+    rows = feeds(spark, sf).accrual.select("event_date", "load_date", "transaction_id", "charge_code", "rev")
+    return _promoted(spark, rows, "charge_code != 'CC-error'", "event_date", ["event_date", "load_date"])
+
+
+def q_promote_load_date(spark, sf):
+    """Keyed by load day (M7)."""
+    rows = feeds(spark, sf).overusage.select("load_date", "transaction_id", "msisdn", "flag", "pi_value_final")
+    return _promoted(spark, rows, "flag = 'alloc_<_rev'", "load_date", ["load_date"])
+
+
+def q_promote_expiry_date(spark, sf):
+    """Keyed by expiry day."""
+    rows = feeds(spark, sf).expiry.select("expiry_date", "transaction_id", "msisdn", "reserve1", "pi_value_final")
+    return _promoted(spark, rows, "reserve1 != 'junk'", "expiry_date", ["expiry_date"])
+
+
+def q_promote_ledger(spark, sf):
+    """Keyed like the ledger (M11): load day, event day and tag."""
+    return _promoted(spark, ledger_table(spark, sf), "source != 'PAYU'", "event_date", list(S.LEDGER_PARTITIONS))
+
+
+# ------------------------------------------------------------------ daily runs
+def _daily(**changes) -> RunParams:
+    return RunParams(**{**PARAMS.__dict__, "days": DAY, **changes})
+
+
+def q_daily_expiry(spark, sf):
+    return flows.flow_expiry(feeds(spark, sf).expiry, _daily())
+
+
+def q_daily_accrual(spark, sf):
+    """The day follows from the load day, whatever event day is asked for."""
+    return flows.flow_accrual(feeds(spark, sf).accrual,
+                              _daily(load_date=ACCRUAL_LOAD, days=flows.accrual_days(ACCRUAL_LOAD)))
+
+
+def q_daily_overusage(spark, sf):
+    return flows.flow_overusage(feeds(spark, sf).overusage, _daily())
+
+
+def q_daily_package(spark, sf):
+    f, p = feeds(spark, sf), _daily(offer_window=RANGE)
+    offers = flows.offers_by_charge_id(f.usage_offers, f.usage_rejects, f.voucher_offers, f.voucher_rejects,
+                                       f.recharge_offers, f.recharge_rejects, p)
+    return flows.flow_package(stage_table(spark, sf), f.subscriber_offers, offers, p)
+
+
+def _into_own_ledger(spark, sf, flow) -> DataFrame:
+    """Run a daily flow that reads the ledger and writes another partition of
+    the same table (S6); the day's ledger read back."""
+    target = scratch_path(spark, "ledger")
+    struct = S.ledger_struct()
+    overwrite_partitions(ledger_table(spark, sf), target, S.LEDGER_PARTITIONS)
+    overwrite_partitions(flow(read_target(spark, target, struct)), target, S.LEDGER_PARTITIONS, "rows")
+    return scan_day(read_target(spark, target, struct), DAY).select(*S.LEDGER_NAMES)
+
+
+def q_daily_late_match(spark, sf):
+    f = feeds(spark, sf)
+    return _into_own_ledger(spark, sf, lambda ledger: flows.flow_late_match(f.billing, f.catalogue, ledger, _daily()))
+
+
+def q_daily_breakage(spark, sf):
     f = feeds(spark, sf)
-    loc = f.location
-    target = scratch_path(spark, "location")
-    staged = scratch_path(spark, "location-staged")
-    # an earlier load that missed the error rows, then a full reload of the
-    # later days is staged and promoted
-    overwrite_partitions(loc.where(C("node_type") != "error"), target, ["event_date"])
-    overwrite_partitions(loc.where(C("event_date") >= F.lit(PROMOTE_FROM).cast("date")),
-                         staged, ["event_date"])
-    promote(spark, staged, target, ["event_date"], target_columns=loc.columns)
-    schema = loc.schema
-    return read_target(spark, target, schema).select(*loc.columns)
+    return _into_own_ledger(spark, sf, lambda ledger: flows.flow_breakage(
+        breakage_stage_table(spark, sf), ledger, f.billing, f.rates, _daily()))
 
 
 def q_key_lookup(spark, sf):
@@ -459,7 +532,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "date_shift": q_date_shift,
     "overwrite_partition": q_overwrite_partition,
     "merge_full_sync": q_merge_full_sync,
+    "merge_target": q_merge_target,
     "promote": q_promote,
+    "promote_two_keys": q_promote_two_keys,
+    "promote_load_date": q_promote_load_date,
+    "promote_expiry_date": q_promote_expiry_date,
+    "promote_ledger": q_promote_ledger,
     "key_lookup": q_key_lookup,
     "sample_filter": q_sample_filter,
     "flow_charge": q_flow_charge,
@@ -474,6 +552,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flow_late_match": q_flow_late_match,
     "flow_breakage_stage": q_flow_breakage_stage,
     "flow_breakage": q_flow_breakage,
+    "daily_expiry": q_daily_expiry,
+    "daily_accrual": q_daily_accrual,
+    "daily_overusage": q_daily_overusage,
+    "daily_package": q_daily_package,
+    "daily_late_match": q_daily_late_match,
+    "daily_breakage": q_daily_breakage,
 }
 
 

@@ -83,6 +83,9 @@ EPOCH_SECONDS = {
 CHARGE_PREFIX = ("'PKG' || lpad(cast(user_id as string), 9, '0') || day_stamp "
                  "|| lpad(cast(k as string), 4, '0') || 'ABCDEFGH'")
 
+# Some charges and locations name no subscriber.
+MSISDN_OR_NULL = "CASE WHEN k % 50 = 49 THEN NULL ELSE msisdn END"
+
 _GEO = [
     ("area_sales", "'AREA-' || region"),
     ("region_sales", "region"),
@@ -173,7 +176,9 @@ FEEDS: dict[str, Feed] = {
     # seized-balance feed (D3): two geography names differ, one huge value
     "seized": Feed("usage", [
         ("event_date", "event_date"), ("trx_date", "trx_date"),
-        ("timestamp_ifrs", "day_stamp || time_stamp"),
+        # bought this month or, one in four, the month before
+        ("timestamp_ifrs", "CASE WHEN k % 4 = 0 THEN '202312' || substr(day_stamp, 7, 2) "
+                           "ELSE day_stamp END || time_stamp"),
         ("transaction_id", "'SZ' || cast(user_id as string) || '-' || day_stamp"),
         *_SUBSCRIBER, *_LACCI,
         *[("sub_branch" if n == "subbranch" else "propinsi" if n == "provinsi" else n, e)
@@ -289,7 +294,7 @@ FEEDS: dict[str, Feed] = {
         ("sku", "'SKU-' || cast(k % 10 as string)"),
         ("business_id", "lpad(cast(k as string), 8, '0')"),
         ("rules_id", "'R-' || event_type"),
-        ("msisdn", "msisdn"),
+        ("msisdn", MSISDN_OR_NULL),
         ("non_usage_flag", "CASE WHEN event_type IN ('purchase', 'signup', 'view') THEN '1' ELSE '0' END"),
         ("status", "CASE WHEN event_type = 'error' THEN 'ER01' ELSE 'OK00' END"),
         ("allowance_sub_type", "CASE event_type WHEN 'view' THEN 'Data Harian' WHEN 'click' "
@@ -300,7 +305,7 @@ FEEDS: dict[str, Feed] = {
         ("bonus_apps_id", "''"),
         ("profile_name", "'PROF-' || segment"),
         ("charge", "cast(k * 100 as string)"),
-        ("alloc_tp", "rev"),
+        ("alloc_tp", "cast(rev * 0.3333 as decimal(18,4))"),
     ]),
     # subscriber profile by day; a subscriber with an error event that day repeats
     "profile": Feed("usage", [
@@ -313,7 +318,7 @@ FEEDS: dict[str, Feed] = {
     ], distinct=True),
     # dominant location by day (read as current and, at FALLBACK_DATE, as fallback)
     "location": Feed("usage", [
-        ("event_date", "event_date"), ("msisdn", "msisdn"),
+        ("event_date", "event_date"), ("msisdn", MSISDN_OR_NULL),
         ("lacci_id", "CASE WHEN event_type = 'signup' THEN NULL ELSE 'LAC' || cast(k % 3 as string) END"),
         ("area_sales", "region"),
         ("region_sales", "CASE WHEN event_type = 'error' THEN NULL ELSE region END"),
@@ -335,7 +340,7 @@ FEEDS: dict[str, Feed] = {
         ("charging_id", CHARGE_PREFIX + " || 'U' || cast(event_id as string)"),
         ("provider_id", "cast(200 + k % 3 as string)"),
         ("pre_post_flag", "CASE WHEN event_type = 'click' THEN '2' ELSE '1' END"),
-    ], where="event_type IN ('purchase', 'click')"),
+    ], where="event_type IN ('purchase', 'click', 'error')"),
     "usage_rejects": Feed("usage", [
         ("event_date", f"DATE '{RUN_DATE}'"), ("trx_date", "event_date"),
         ("charging_id", CHARGE_PREFIX + " || 'R' || cast(event_id as string)"),
@@ -347,7 +352,7 @@ FEEDS: dict[str, Feed] = {
         ("sne", "cast(event_id as string)"),
         ("dc_order_id", CHARGE_PREFIX + " || 'V'"),
         ("offer_id", "cast(400 + k % 2 as string)"),
-        ("status", "'3'"),
+        ("status", "CASE WHEN k % 5 = 0 THEN '2' ELSE '3' END"),
         ("redeem_state", "CASE WHEN k % 2 = 0 THEN '3' ELSE '1' END"),
         ("bid_flag", "CASE WHEN k > 90 THEN 'Y' ELSE NULL END"),
     ], where="event_type = 'view'"),
@@ -356,7 +361,7 @@ FEEDS: dict[str, Feed] = {
         ("sne", "cast(event_id as string)"),
         ("dc_order_id", CHARGE_PREFIX + " || 'W'"),
         ("offer_id", "cast(450 + k % 2 as string)"),
-        ("status", "'3'"),
+        ("status", "CASE WHEN k % 5 = 0 THEN '2' ELSE '3' END"),
         ("redeem_state", "CASE WHEN k % 2 = 0 THEN '3' ELSE '1' END"),
         ("bid_flag", "CASE WHEN k > 90 THEN 'Y' ELSE NULL END"),
     ], where="event_type = 'signup'"),
@@ -426,7 +431,8 @@ FEEDS: dict[str, Feed] = {
         ("status_flag", "CASE WHEN p_type = 'ECONOMY' THEN 'N' ELSE 'Y' END"),
         ("ifrs_flag", "CASE WHEN p_size <= 10 THEN 'false' WHEN p_size <= 30 THEN 'True' ELSE 'TRUE' END"),
     ]),
-    # voucher tables for the full-sync merge: target and source overlap on one priority
+    # voucher tables for the full-sync merge: target and source overlap on one
+    # priority, and the source lacks a day
     "voucher_target": Feed("orders", [
         ("event_date", "make_date(2024, 1, day(o_orderdate))"),
         ("sne", "cast(o_orderkey as string)"),
@@ -444,7 +450,7 @@ FEEDS: dict[str, Feed] = {
         ("offer_id", "cast(o_custkey + 7 as string)"),
         ("status", "'3'"),
         ("bid_flag", "CASE WHEN o_orderpriority = '1-URGENT' THEN 'Y' ELSE NULL END"),
-    ], where="o_orderpriority IN ('3-MEDIUM', '4-NOT SPECIFIED', '5-LOW')"),
+        ], where="o_orderpriority IN ('3-MEDIUM', '4-NOT SPECIFIED', '5-LOW') AND day(o_orderdate) <> 7"),
     # subscriber key list: every customer of one segment (some have no ledger rows)
     "key_list": Feed("customer", [
         ("msisdn", "'628' || lpad(cast(c_custkey as string), 9, '0')"),
@@ -470,8 +476,6 @@ RATE_GAP = "NOT (r_name = 'AFRICA' AND allowance_type = 'VOICE')"
 FEED_PARTITIONS: dict[str, tuple[str, ...]] = {
     "expiry": ("expiry_date",),
     "overusage": ("load_date",),
-    "voucher_target": (),
-    "voucher_source": (),
 }
 
 
@@ -553,10 +557,7 @@ class DriverFeeds:
             from tallyspark.sources.scans import key_list
             return key_list(self.spark, path)
         parts = FEED_PARTITIONS.get(name, ("event_date",))
-        if parts:
-            overwrite_partitions(df, path, parts)
-        else:
-            df.write.mode("overwrite").parquet(path)
+        overwrite_partitions(df, path, parts)
         return read_target(self.spark, path, df.schema).select(*df.columns)
 
     def _rates(self) -> DataFrame:
