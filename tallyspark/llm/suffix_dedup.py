@@ -42,8 +42,9 @@ from tallyspark.llm.shared import slices, stored
 
 LENGTH, Q = 200, 64
 LOCAL_KINDS = 2048
-#: Bytes of one text searched at once, and of block text refined at once.
-CHUNK, REFINED = 4 << 20, 1 << 20
+#: Bytes searched at once, few enough for the arrays to stay in a core's
+#: cache; of a longer text at once; and of block text refined at once.
+SEARCHED, CHUNK, REFINED = 1 << 17, 4 << 20, 1 << 20
 _BLOCKS = "gram long, kind long, k1 long, k2 int, lo long, size int"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
@@ -86,8 +87,10 @@ def anchors(h: np.ndarray, w: int) -> np.ndarray:
     # minima of the runs it lies in
     edge = np.zeros(w - 1, np.uint64)
     largest = _sliding(np.concatenate([edge, least, edge]), w, np.maximum)
-    minima = np.flatnonzero(h == largest)
-    at = np.searchsorted(minima, np.arange(len(least)))
+    minimal = h == largest
+    minima = np.flatnonzero(minimal)
+    # how many lie before a position is the number of the first from it on
+    at = (np.cumsum(minimal, dtype=np.int32) - minimal)[:len(least)]
     wrong = np.flatnonzero(h[minima[at]] != least)
     while len(wrong):
         at[wrong] += 1
@@ -192,7 +195,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def block_table(rows: DataFrame, length: int, q: int) -> DataFrame:
     def find(batches):
-        for batch in slices(batches, "data"):
+        for batch in slices(batches, "data", SEARCHED):
             found = list(text_blocks(batch.column("data").to_pylist(), length, q))
             doc, lo, n, gram, kind = zip(*found, strict=True) if found else [[]] * 5
             own = pa.array(doc, pa.int64())
