@@ -45,6 +45,9 @@ LOCAL_KINDS = 2048
 #: Bytes searched at once, few enough for the arrays to stay in a core's
 #: cache; of a longer text at once; and of block text refined at once.
 SEARCHED, CHUNK, REFINED = 1 << 17, 4 << 20, 1 << 20
+#: Names of repeated windows sent to every task at most; beyond that they are
+#: joined.
+SENT_NAMES = 250_000
 _BLOCKS = "gram long, kind long, k1 long, k2 int, lo long, size int"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
@@ -259,14 +262,21 @@ def _local_ranges(texts: DataFrame, length: int) -> DataFrame:
     return own.mapInArrow(refine, _RANGE_DDL)
 
 
-def _hot_ranges(texts: DataFrame, length: int) -> DataFrame:
-    """Windows of hot q-grams, counted by name."""
+def _window_names(block: bytes, length: int) -> np.ndarray:
+    """(w1, w2) of every window of a block: a 128-bit name."""
+    view = memoryview(block)
+    return np.frombuffer(b"".join(xxhash.xxh3_128_digest(view[i:i + length]) for i in range(len(block) - length + 1)), "<i8").reshape(-1, 2)
+
+
+def _hot_ranges(spark: SparkSession, texts: DataFrame, length: int) -> DataFrame:
+    """Windows of hot q-grams, counted by name.  The names that repeat go
+    back to the blocks: to every task if they are few, else by a join."""
     def windows(batches):
         for batch in batches:
             for g, k, n, block in zip(*(batch.column(c).to_pylist() for c in ("gram", "kind", "n", "block")), strict=True):
-                view, count = memoryview(block), len(block) - length + 1
-                names = np.frombuffer(b"".join(xxhash.xxh3_128_digest(view[i:i + length]) for i in range(count)), "<i8")
-                yield pa.record_batch([pa.array(names[::2]), pa.array(names[1::2]), pa.array(np.full(count, g)),
+                names = _window_names(block, length)
+                count = len(names)
+                yield pa.record_batch([pa.array(names[:, 0]), pa.array(names[:, 1]), pa.array(np.full(count, g)),
                                        pa.array(np.full(count, k)), pa.array(np.full(count, min(n, 2))),
                                        pa.array(np.arange(count, dtype=np.int32))],
                                       names=["w1", "w2", "gram", "kind", "n", "at"])
@@ -274,8 +284,21 @@ def _hot_ranges(texts: DataFrame, length: int) -> DataFrame:
     hot = texts.where("hot").dropDuplicates(["gram", "kind"])
     rows = hot.mapInArrow(windows, "w1 long, w2 long, gram long, kind long, n long, at int")
     again = rows.groupBy("w1", "w2").agg(F.sum("n").alias("total")).where("total > 1").select("w1", "w2")
-    return rows.join(again, ["w1", "w2"], "left_semi").groupBy("gram", "kind").agg(
-        F.min("at").alias("first"), F.max("at").alias("last"))
+    again = stored(spark, again, "repeated-windows")
+    if again.count() > SENT_NAMES:
+        return rows.join(again, ["w1", "w2"], "left_semi").groupBy("gram", "kind").agg(
+            F.min("at").alias("first"), F.max("at").alias("last"))
+    sent = spark.sparkContext.broadcast(frozenset(map(tuple, again.collect())))
+
+    def ranges(batches):
+        for batch in batches:
+            out = []
+            for g, k, block in zip(*(batch.column(c).to_pylist() for c in ("gram", "kind", "block")), strict=True):
+                at = [i for i, w in enumerate(_window_names(block, length).tolist()) if tuple(w) in sent.value]
+                out += [(g, k, at[0], at[-1])] if at else []
+            yield _batch(out, _RANGES)
+
+    return hot.mapInArrow(ranges, _RANGE_DDL)
 
 
 def removed_spans(spark: SparkSession, rows: DataFrame, length: int, q: int) -> DataFrame:
@@ -283,6 +306,9 @@ def removed_spans(spark: SparkSession, rows: DataFrame, length: int, q: int) ->
     found = block_table(rows, length, q)
     grams = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("kind").alias("a"), F.max("kind").alias("b")).where(
         "n > 1").select("gram", (F.col("a") != F.col("b")).alias("mixed"))
+    # stored, so that both sides of the join come from a shuffle of their own
+    # and Spark can split a q-gram that very many blocks share
+    grams = stored(spark, grams, "grams")
     repeated = stored(spark, found.join(grams, "gram"), "blocks")
     mixed = repeated.where("mixed")
     kinds = mixed.groupBy("gram", "kind").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("k1", "k2", "lo", "size")).alias("one"))
@@ -290,7 +316,7 @@ def removed_spans(spark: SparkSession, rows: DataFrame, length: int, q: int) ->
         "gram", F.lit(True).alias("hot"))
     kinds = kinds.join(hot, "gram", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
     texts = stored(spark, _kind_texts(rows, kinds, length), "kinds")
-    ranges = _local_ranges(texts, length).unionByName(_hot_ranges(texts, length))
+    ranges = _local_ranges(texts, length).unionByName(_hot_ranges(spark, texts, length))
     settled = repeated.where("NOT mixed").select("k1", "k2", "lo", (F.col("lo") + F.col("size") + length - 1).alias("end"))
     partly = mixed.join(ranges, ["gram", "kind"]).select(
         "k1", "k2", (F.col("lo") + F.col("first")).alias("lo"), (F.col("lo") + F.col("last") + length).alias("end"))

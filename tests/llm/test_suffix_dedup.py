@@ -50,10 +50,21 @@ def test_hot_buckets_and_chunks_give_the_same(spark, monkeypatch):
     texts = corpus(random.Random(2))
     want = brute(texts, 20)
     monkeypatch.setattr(S, "LOCAL_KINDS", 2)
-    monkeypatch.setattr(S, "CHUNK", 50)
+    monkeypatch.setattr(S, "SEARCHED", 50)
     monkeypatch.setattr(S, "REFINED", 200)
-    got = {r.doc_id: tuple(r)[1:] for r in run(spark, texts, 20, 9)}
-    assert [got[i] for i in range(len(texts))] == want
+    for names in (S.SENT_NAMES, 0):
+        monkeypatch.setattr(S, "SENT_NAMES", names)
+        got = {r.doc_id: tuple(r)[1:] for r in run(spark, texts, 20, 9)}
+        assert [got[i] for i in range(len(texts))] == want
+
+
+def test_chunks_of_a_long_text_hold_every_window(monkeypatch):
+    rng = random.Random(6)
+    texts = [bytes(rng.choice(b"abc") for _ in range(n)) for n in (0, 30, 500, 19, 20)]
+    for chunk in (25, 40, 10**6):
+        monkeypatch.setattr(S, "CHUNK", chunk)
+        seen = sorted((d, lo + k) for d, lo, n, *_ in S.text_blocks(texts, 20, 9) for k in range(n))
+        assert seen == [(d, i) for d, t in enumerate(texts) for i in range(len(t) - 19)]
 
 
 def test_repeated_and_null_ids(spark):
