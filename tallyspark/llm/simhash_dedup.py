@@ -240,5 +240,7 @@ def keep_one(spark: SparkSession, docs: DataFrame, shingle: int = 4, max_bits: i
     single, several = ids.where("copies = 1"), ids.where("copies > 1")
     same = docs["doc_id"].eqNullSafe(F.col("kept_id"))
     once = docs.join(single.select(F.col("doc_id").alias("kept_id")), same, "left_semi")
+    if several.isEmpty():  # no doc_id occurs twice: the texts need not be read again
+        return once
     rest = docs.join(several.select(F.col("doc_id").alias("kept_id")), same, "left_semi").dropDuplicates(["doc_id"])
     return once.unionByName(rest)
