@@ -66,15 +66,23 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return int((np.uint64(1) << np.flatnonzero(2 * counts > n).astype(np.uint64)).sum())
 
 
-def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, fp) per row; fp is the fingerprint's bits as a signed long."""
+def named(docs: DataFrame) -> DataFrame:
+    """``docs`` with two hashes that name the text, never null."""
+    text = F.col("text").cast("string")
+    return docs.withColumns({"__n1": F.xxhash64(text, text.isNull()), "__n2": F.xxhash64(F.lit(1), text, text.isNull())})
+
+
+def fingerprints(docs: DataFrame, shingle: int, names: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp) per row, and the long columns ``names`` of ``docs``; fp is
+    the fingerprint's bits as a signed long."""
     def emit(batches):
         for batch in slices(batches):
             fps = np.array([fingerprint(t, shingle) for t in batch.column("text").to_pylist()], np.uint64)
-            yield pa.record_batch([batch.column("doc_id"), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.record_batch([batch.column("doc_id"), pa.array(fps.view(np.int64)), *map(batch.column, names)],
+                                  names=["doc_id", "fp", *names])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(emit, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *names)
+    return rows.mapInArrow(emit, ", ".join(f"{c} long" for c in ("doc_id", "fp", *names)))
 
 
 # ------------------------------------------------------------------ index
@@ -211,12 +219,16 @@ def _joined(part: list[np.ndarray], max_bits: int):
 
 
 # ------------------------------------------------------------------ components
-def fingerprint_components(spark: SparkSession, prints: DataFrame, max_bits: int) -> DataFrame:
-    """(fp, component_id) for every distinct fp of ``prints`` (doc_id, fp)."""
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+def _members(spark: SparkSession, prints: DataFrame, distinct: DataFrame, max_bits: int) -> DataFrame:
+    """``distinct`` (a row per fp) with its component, the smallest fp in it."""
     found = components(spark, links(spark, prints.select("fp").distinct(), max_bits))
     member = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left")
-    member = member.withColumn("component", F.coalesce("component", "fp"))
+    return member.withColumn("component", F.coalesce("component", "fp"))
+
+
+def fingerprint_components(spark: SparkSession, prints: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, component_id) for every distinct fp of ``prints`` (doc_id, fp)."""
+    member = _members(spark, prints, prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), max_bits)
     label = member.groupBy("component").agg(F.min("first_id").alias("component_id"))
     return member.join(label, "component").select("fp", "component_id")
 
@@ -230,17 +242,21 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, shingle: int = 4, max_
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
-    """The rows of ``docs`` with the smallest doc_id of their component; of
-    rows that share that doc_id, one."""
-    found = near_duplicates(spark, docs, shingle, max_bits)
-    kept = (found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", "fingerprint")
-            .agg(F.count(F.lit(1)).alias("copies")))
-    kept = stored(spark, kept, "kept")
-    ids = kept.groupBy("doc_id").agg(F.sum("copies").alias("copies"))
-    single, several = ids.where("copies = 1"), ids.where("copies > 1")
-    same = docs["doc_id"].eqNullSafe(F.col("kept_id"))
-    once = docs.join(single.select(F.col("doc_id").alias("kept_id")), same, "left_semi")
-    if several.isEmpty():  # no doc_id occurs twice: the texts need not be read again
+    """One row of ``docs`` per component: the one with the smallest doc_id (a
+    null counts as the largest), of several texts under it one."""
+    names = ("__n1", "__n2")
+    rows = named(docs)
+    prints = stored(spark, fingerprints(rows, shingle, names), "fingerprints")
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", *names)
+    first = prints.groupBy("fp").agg(F.min(row).alias("row"))
+    kept = _members(spark, prints, first, max_bits).groupBy("component").agg(F.min("row").alias("row")).select("row.*")
+    kept = kept.select(F.col("doc_id").alias("kept_id"), *[F.col(c).alias(f"kept{c}") for c in names])
+    same = lambda table: [table["doc_id"].cast("long").eqNullSafe(F.col("kept_id")), *[table[c] == F.col(f"kept{c}") for c in names]]
+    copies = prints.groupBy("doc_id", *names).agg(F.count(F.lit(1)).alias("copies"))
+    kept = stored(spark, kept.join(copies, same(copies)).select(*kept.columns, "copies"), "kept")
+    single, several = kept.where("copies = 1").drop("copies"), kept.where("copies > 1").drop("copies")
+    once = rows.join(single, same(rows), "left_semi").drop(*names)
+    if several.isEmpty():  # no kept row occurs twice: the texts need not be read again
         return once
-    rest = docs.join(several.select(F.col("doc_id").alias("kept_id")), same, "left_semi").dropDuplicates(["doc_id"])
+    rest = rows.join(several, same(rows), "left_semi").dropDuplicates(["doc_id", *names]).drop(*names)
     return once.unionByName(rest)
