@@ -84,6 +84,7 @@ class Probes:
             m = min(n, WINDOW)
             starts = [*range(0, n - m, STRIDE), n - m]
             self.windows.append([(s, m, budget(m), m - Q + 1 - Q * budget(m)) for s in starts])
+        self.longest = max(map(len, self.chars), default=0)
         self.step = max((w[2] for ws in self.windows for w in ws), default=0) + 1
         self.least = np.array([min(w[3] for w in ws) for ws in self.windows], np.int64)
         grams = [gram_hashes(c) for c in self.chars]
@@ -120,9 +121,10 @@ class Probes:
         if not len(at):
             return
         doc = np.searchsorted(starts, at, side="right") - 1
-        band = (at - pos + WINDOW + len(chars)) // self.step
+        # no diagonal lies further below zero than the longest item is long
+        band = (at - pos + self.longest) // self.step
         # one number per (document, item, band); bands of a pair are adjacent
-        bands = (WINDOW + 2 * len(chars)) // self.step + 3
+        bands = (self.longest + len(chars)) // self.step + 3
         pair, which = np.unique(doc * len(self.ids) + item, return_inverse=True)
         key = which * bands + band
         order = np.argsort(key, kind="stable")
@@ -136,7 +138,7 @@ class Probes:
         for c in np.flatnonzero(joined >= self.least[pair[cells // bands] % len(self.ids)]):
             last = ends[c + 1] if c + 1 < len(cells) and cells[c + 1] == cells[c] + 1 else ends[c]
             p = pair[cells[c] // bands]
-            low = int(cells[c] % bands) * self.step - WINDOW - len(chars)
+            low = int(cells[c] % bands) * self.step - self.longest
             yield int(p // len(self.ids)), int(p % len(self.ids)), low, np.unique(pos[first[c]:last])
 
     # -------------------------------------------------------------- verifying
