@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tallyspark.llm import ann, decontamination, language_id, line_dedup, packing, pii, simhash_dedup, suffix_dedup, token_counts, warc
+from tallyspark.llm import (
+    ann, decontamination, language_id, line_dedup, packing, pii, prefix_trie, simhash_dedup, suffix_dedup, token_counts, warc)
 from tallyspark.session import scratch_path
 
 
@@ -57,6 +58,11 @@ def op10_warc(spark, sf):
     return warc.resolved(warc.read_archives(spark, path, payloads=False))
 
 
+def op13_prefix_trie(spark, sf):
+    turns = prefix_trie.named_turns(spark, table(spark, sf, "conversations"))
+    return prefix_trie.trie(spark, prefix_trie.branched(spark, turns, share=100, most=6))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_packing": op2_packing,
@@ -68,6 +74,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_pii": op9_pii,
     "op10_warc": op10_warc,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 _SQL_WARC = """
@@ -81,6 +88,42 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM d LEFT JOIN big ON payload_digest = dg
 """
 
+_SQL_TRIE = """
+WITH turns AS (
+  SELECT CAST(conv_id AS BIGINT) AS c, turn, coalesce(role, '') AS r, coalesce(text, '') AS x
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT c, list({'r': r, 'x': x} ORDER BY turn NULLS FIRST, sha256(concat(length(r), ':', r, x))) AS seq
+  FROM turns GROUP BY c),
+cuts AS (
+  SELECT c, seq, (4294967295 - list_reduce(
+      list_concat([4294967295], flatten([[ascii(d), 0, 0, 0, 0, 0, 0, 0] FOR d IN string_split(CAST(c AS VARCHAR), '')])),
+      lambda a, e: xor(xor(a, e) >> 1, 3988292384 * (xor(a, e) % 2)))) % 6 AS h
+  FROM own),
+rebuilt AS (
+  SELECT k.c, list_concat(coalesce(b.seq, k.seq[1:0])[1:k.h], k.seq[k.h + 1:]) AS seq
+  FROM cuts k LEFT JOIN own b ON b.c = k.c - k.c % 100),
+prefixes AS (
+  SELECT c, seq, d, seq[1:d] AS p, len(seq) = d AS ends
+  FROM (SELECT c, seq, unnest(range(len(seq) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT d, p, min(c) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM prefixes GROUP BY d, p),
+kids AS (SELECT p[1:d - 1] AS p, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+tree AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children,
+         (n_convs - 1) * CASE WHEN n.d = 0 THEN 0 ELSE length(n.p[n.d].x) END AS saved
+  FROM nodes n LEFT JOIN kids k ON n.p = k.p),
+totals AS (
+  SELECT p[1:up] AS p, CAST(sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves,
+         CAST(sum(saved) AS BIGINT) AS saved_tokens
+  FROM (SELECT *, unnest(range(d + 1)) AS up FROM tree) GROUP BY 1)
+SELECT t.conv_id, CAST(t.d AS BIGINT) AS depth, u.conv_id AS parent_conv_id, t.n_convs, t.n_children, s.n_leaves, s.saved_tokens, t.ends_sha256
+FROM tree t JOIN totals s ON s.p = t.p LEFT JOIN tree u ON t.d > 0 AND u.p = t.p[1:t.d - 1]
+"""
+
 ORACLE_SQL = {
     "op10_warc": _SQL_WARC,
+    "op13_prefix_trie": _SQL_TRIE,
 }
