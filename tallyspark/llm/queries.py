@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tallyspark.llm import (
-    ann, decontamination, language_id, line_dedup, packing, pii, prefix_trie, simhash_dedup, suffix_dedup, token_counts, warc)
+    ann, collocations, decontamination, language_id, line_dedup, packing, pii, prefix_trie, simhash_dedup, suffix_dedup, token_counts, warc)
 from tallyspark.session import scratch_path
 
 
@@ -58,6 +58,10 @@ def op10_warc(spark, sf):
     return warc.resolved(warc.read_archives(spark, path, payloads=False))
 
 
+def op12_phrase_collocations(spark, sf):
+    return collocations.collocations(spark, table(spark, sf, "documents"), longest=5, least=100, top=2000, percent=100)
+
+
 def op13_prefix_trie(spark, sf):
     turns = prefix_trie.named_turns(spark, table(spark, sf, "conversations"))
     return prefix_trie.trie(spark, prefix_trie.branched(spark, turns, share=100, most=6))
@@ -74,6 +78,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_pii": op9_pii,
     "op10_warc": op10_warc,
+    "op12_phrase_collocations": op12_phrase_collocations,
     "op13_prefix_trie": op13_prefix_trie,
 }
 
@@ -88,6 +93,35 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM d LEFT JOIN big ON payload_digest = dg
 """
 
+_SQL_COLLOCATIONS = """
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+pieces AS (
+  SELECT lang, list_filter(regexp_split_to_array(p, '[ \\t]+'), lambda w: w != '') AS w
+  FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\\n\\x0B\\x0C\\r]')) AS p FROM texts)),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces),
+grams AS (SELECT lang, m, w[i:i + m - 1] AS p FROM places, (VALUES (1), (2), (3), (4), (5)) v(m) WHERE i + m - 1 <= len(w)),
+freq AS (SELECT lang, m, p, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+cand AS (SELECT * FROM freq WHERE m > 1),
+cuts AS (
+  SELECT c.lang, c.p, c.m, c.f AS a, k, x.f AS l, y.f AS r, n,
+         (1000 * CAST(c.f AS HUGEINT) * n) // (CAST(x.f AS HUGEINT) * y.f) AS score
+  FROM cand c, (VALUES (1), (2), (3), (4)) v(k), totals t, freq x, freq y
+  WHERE k < c.m AND t.lang = c.lang AND x.lang = c.lang AND x.p = c.p[1:k] AND y.lang = c.lang AND y.p = c.p[k + 1:]),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+longer AS (
+  SELECT lang, p[s:s + z - 1] AS p, max(f) AS f
+  FROM cand, (VALUES (2), (3), (4)) u(z), (VALUES (1), (2), (3), (4)) v(s)
+  WHERE z < m AND s + z - 1 <= m GROUP BY ALL),
+kept AS (
+  SELECT b.lang, array_to_string(b.p, ' ') AS phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+  FROM best b LEFT JOIN longer o ON o.lang = b.lang AND o.p = b.p WHERE o.f IS NULL OR 100 * o.f < 100 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept QUALIFY rank <= 2000
+"""
+
 _SQL_TRIE = """
 WITH turns AS (
   SELECT CAST(conv_id AS BIGINT) AS c, turn, coalesce(role, '') AS r, coalesce(text, '') AS x
@@ -125,5 +159,6 @@ FROM tree t JOIN totals s ON s.p = t.p LEFT JOIN tree u ON t.d > 0 AND u.p = t.p
 
 ORACLE_SQL = {
     "op10_warc": _SQL_WARC,
+    "op12_phrase_collocations": _SQL_COLLOCATIONS,
     "op13_prefix_trie": _SQL_TRIE,
 }
