@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tallyspark.llm import (
-    ann, collocations, decontamination, language_id, line_dedup, packing, pii, prefix_trie, simhash_dedup, suffix_dedup, token_counts, warc)
+    ann, collocations, decontamination, language_id, line_dedup, packing, pii, prefix_trie, secret_scan, simhash_dedup, suffix_dedup,
+    token_counts, warc)
 from tallyspark.session import scratch_path
 
 
@@ -58,6 +59,10 @@ def op10_warc(spark, sf):
     return warc.resolved(warc.read_archives(spark, path, payloads=False))
 
 
+def op11_secret_scan(spark, sf):
+    return secret_scan.secrets(spark, table(spark, sf, "documents"))
+
+
 def op12_phrase_collocations(spark, sf):
     return collocations.collocations(spark, table(spark, sf, "documents"), longest=5, least=100, top=2000, percent=100)
 
@@ -78,6 +83,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_pii": op9_pii,
     "op10_warc": op10_warc,
+    "op11_secret_scan": op11_secret_scan,
     "op12_phrase_collocations": op12_phrase_collocations,
     "op13_prefix_trie": op13_prefix_trie,
 }
