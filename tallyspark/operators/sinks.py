@@ -15,18 +15,19 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyspark.session import delete_path, overwrite_mode, scratch_path
+from tallyspark.operators import publish
+from tallyspark.session import delete_path, overwrite_mode
+from tallyspark.sources.store import is_path as _is_path
 
 ACTION = "merge_action"
-
-
-def _is_path(target: str) -> bool:
-    return "/" in target or ":" in target
+#: Rows of a page of a key-clustered file.
+KEY_PAGE_ROWS = 4000
 
 
 def overwrite_partitions(df: DataFrame, target: str, partition_cols: Sequence[str],
                          rebalance: str | None = "partitions",
-                         expected_partitions: Sequence[dict] | None = None) -> None:
+                         expected_partitions: Sequence[dict] | None = None,
+                         cluster_by: Sequence[str] = ()) -> None:
     """Replace exactly the partitions present in ``df`` (dynamic overwrite).
 
     Partitions absent from ``df`` are untouched, and an empty ``df`` changes
@@ -44,6 +45,10 @@ def overwrite_partitions(df: DataFrame, target: str, partition_cols: Sequence[st
     owns; any of them that received no rows is dropped, so a re-run that lost
     all its rows leaves no stale data.  Which ones were written is observed
     during the write itself; only distinct partition values reach the driver.
+
+    ``cluster_by``: key columns that the rows of every file are sorted by; a
+    path's files also get ``key_layout``, so that point lookups read few of
+    the rows (``key_totals``).  A table has its layout from ``ensure_table``.
     """
     spark = df.sparkSession
     out = df
@@ -53,8 +58,11 @@ def overwrite_partitions(df: DataFrame, target: str, partition_cols: Sequence[st
     if expected_partitions:
         values = F.collect_set(F.array(*[F.col(c).cast("string") for c in partition_cols]))
         out = out.observe(observed, values.alias("written"))
+    if cluster_by:
+        out = out.sortWithinPartitions(*partition_cols, *cluster_by)
     if _is_path(target):
         (out.write.mode("overwrite")
+            .options(**key_layout(cluster_by))
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*partition_cols)
             .parquet(target))
@@ -66,6 +74,37 @@ def overwrite_partitions(df: DataFrame, target: str, partition_cols: Sequence[st
         _drop_unwritten(spark, target, partition_cols, expected_partitions, written)
 
 
+def key_layout(keys: Sequence[str]) -> dict[str, str]:
+    """Parquet settings for rows sorted by ``keys``: a Bloom filter per row
+    group, and pages short enough that their ranges tell keys apart."""
+    if not keys:
+        return {}
+    return {"parquet.page.row.count.limit": str(KEY_PAGE_ROWS)} | {f"parquet.bloom.filter.enabled#{k}": "true" for k in keys}
+
+
+def ensure_table(spark: SparkSession, name: str, schema: T.StructType, partition_cols: Sequence[str],
+                 cluster_by: Sequence[str] = ()) -> bool:
+    """Create a partitioned Parquet catalog table from its declared schema
+    where there is none (the first load), and say whether it was created.
+
+    An existing table must have these columns, types and partition columns,
+    in whatever order: a load into another layout would be written under the
+    wrong partitions and is refused."""
+    if not spark.catalog.tableExists(name):
+        (spark.createDataFrame([], schema).write.format("parquet").options(**key_layout(cluster_by))
+            .partitionBy(*partition_cols).saveAsTable(name))
+        return True
+    there = {f.name: f.dataType.simpleString() for f in spark.table(name).schema}
+    wanted = {f.name: f.dataType.simpleString() for f in schema}
+    layout = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    wrong = [f"{c} is {there.get(c)}, not {wanted.get(c)}" for c in {**wanted, **there} if there.get(c) != wanted.get(c)]
+    if set(layout) != set(partition_cols):
+        wrong.append(f"partitioned by {layout}, not {list(partition_cols)}")
+    if wrong:
+        raise ValueError(f"table {name} does not fit: {'; '.join(wrong)}")
+    return False
+
+
 def _drop_unwritten(spark: SparkSession, target: str, partition_cols: Sequence[str],
                     expected: Sequence[dict], written: set[tuple]) -> None:
     for spec in expected:
@@ -147,12 +186,17 @@ def merge_full_sync(spark: SparkSession, source: DataFrame | str, target: str, k
     partitions that lost all their rows go with it and the layout by
     ``partition_cols`` (a table's own, for catalog tables) stays.
 
+    The new content is staged whole and put in place by ``publish.replace``:
+    wherever a run breaks off, the old or the new version is there, and the
+    next run, or ``publish.recover``, finishes what was decided.
+
     Both sides are refreshed first (S10).  An empty source would delete the
     whole target and is refused unless ``allow_empty`` (T8); several source
     rows for one target row are refused (T9).  ``clear_source`` truncates a
     catalog source once the target is written (K5); until then a run that
     broke off can simply be repeated.
     """
+    publish.recover(spark, target)
     for name in (source, target):
         if isinstance(name, str):
             refresh(spark, name)
@@ -174,19 +218,10 @@ def merge_full_sync(spark: SparkSession, source: DataFrame | str, target: str, k
         raise ValueError("empty merge source would delete every target row; pass allow_empty=True")
     rows = rows.select(*current.columns)
     if (found.repeats or 1) > 1:
-        # written to a place of its own first: it reads the target
         again = current.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
         rows = rows.join(again, list(keys), "left").select(
             *current.columns, F.explode(F.sequence(F.lit(1), F.coalesce("__n", F.lit(1)))).alias("__i")).drop("__i")
-        staged = scratch_path(spark, "merge")
-        rows.write.parquet(staged)
-        rows = spark.read.schema(current.schema).parquet(staged)
-    if _is_path(target):
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        (writer.partitionBy(*partition_cols) if partition_cols else writer).parquet(target)
-    else:
-        with overwrite_mode(spark, "static"):
-            rows.write.insertInto(target, overwrite=True)
+    publish.replace(spark, rows, target, partition_cols)
     refresh(spark, target)
     if clear_source and isinstance(source, str) and not _is_path(source):
         spark.sql(f"TRUNCATE TABLE {source}")
