@@ -3,6 +3,7 @@
 from tallyspark.functions.columns import (
     classify_patterns,
     day_shift,
+    equals_one,
     hex_epoch_day,
     hex_epoch_millis,
     not_like_folded,
@@ -18,7 +19,7 @@ from tallyspark.functions.columns import (
 )
 
 __all__ = [
-    "classify_patterns", "day_shift", "hex_epoch_day", "hex_epoch_millis",
+    "classify_patterns", "day_shift", "equals_one", "hex_epoch_day", "hex_epoch_millis",
     "not_like_folded", "nth_token", "null_default_not_equal", "padded_id", "prefix",
     "present_flag", "stamp_to_day_text", "tax_net", "to_int", "unknown_if_blank",
 ]

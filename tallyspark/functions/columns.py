@@ -56,6 +56,12 @@ def to_int(col: str | Column) -> Column:
     return _c(col).try_cast("int")
 
 
+def equals_one(col: str | Column) -> Column:
+    """Text that reads as the integer 1 (F1b), with a form of it that scans
+    can push down: whatever casts to 1 contains the digit."""
+    return _c(col).contains("1") & (to_int(col) == 1)
+
+
 def nth_token(col: str | Column, index: int, delimiter_regex: str = "[$]",
               default: str | None = "0") -> Column:
     """Zero-based token of a delimited string; out of range gives ``default``."""

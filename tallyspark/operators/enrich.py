@@ -10,12 +10,16 @@ statistics rather than guessed here.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyspark.session import scratch_path
+from tallyspark.sources.store import Store
+
 _BEST = "__best_value"
 _SALT = "__null_key_salt"
 
@@ -150,6 +154,41 @@ def _half_join(left: DataFrame, right: DataFrame, left_on, right_on, how: str) -
     return lft.join(rgt, cond, how).select(*left.columns)
 
 
+def handed_off(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared work folder and read back: worked out
+    once however often it is used, with a size the planner knows."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def reduce_to(big: DataFrame, small: DataFrame, keys: Sequence[str], most_bytes: int | None = None) -> DataFrame:
+    """The rows of ``big`` whose keys ``small`` has, if that pays: a semi join
+    before ``big`` is shuffled.
+
+    The distinct keys are handed off and measured.  Up to ``most_bytes``
+    (Spark's broadcast threshold unless given) they are joined, which the
+    planner, knowing the size, does by broadcast where ``big`` is read; beyond
+    it the join would shuffle all of ``big`` itself, and ``big`` is returned as
+    it is.  So this only ever serves a join on the same keys that follows.
+    """
+    spark = big.sparkSession
+    if most_bytes is None:
+        most_bytes = _bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+    path = scratch_path(spark, "reducing-keys")
+    wanted = small.select(*keys).dropna().distinct()
+    wanted.write.parquet(path)
+    if Store(spark, path).size(path) > most_bytes:
+        return big
+    return semi_lookup(big, spark.read.schema(wanted.schema).parquet(path), list(keys), list(keys))
+
+
+def _bytes(size: str) -> int:
+    """Spark's notation of a size, such as ``10MB`` or ``10485760b``."""
+    digits, unit = re.fullmatch(r"\s*(-?[0-9]+)\s*([a-z]*)\s*", size.lower()).groups()
+    return int(digits) * 1024 ** ("bkmgtp".index(unit[0]) if unit else 0)
+
+
 def coalesce_sources(df: DataFrame, current: DataFrame, fallback: DataFrame,
                      columns: Sequence[str], current_keys: Sequence[str],
                      fallback_keys: Sequence[str]) -> DataFrame:

@@ -21,6 +21,7 @@ from tallyspark import schema as S
 from tallyspark.functions import (
     classify_patterns,
     day_shift,
+    equals_one,
     hex_epoch_day,
     not_like_folded,
     nth_token,
@@ -34,18 +35,21 @@ from tallyspark.functions import (
     unknown_if_blank,
 )
 from tallyspark.operators.allocate import newest_rates, rate_join, reverse
+from tallyspark.operators.audit import Audit, watched
 from tallyspark.operators.enrich import (
     anti_lookup,
     coalesce_sources,
     dedup_keys,
+    handed_off,
     lookup,
+    reduce_to,
     semi_lookup,
     top_ranked,
     union_all,
 )
 from tallyspark.operators.ledger import ledger_rollup
 from tallyspark.plans.params import RunParams
-from tallyspark.sources.scans import scan_days, scan_reject
+from tallyspark.sources.scans import scan_days, scan_newest_loads, scan_reject
 
 C = F.col
 
@@ -145,11 +149,13 @@ def flow_expiry(feed: DataFrame, p: RunParams) -> DataFrame:
 
 
 # ---------------------------------------------------------------- D3 seized
-def flow_seized(feed: DataFrame, p: RunParams) -> DataFrame:
+def flow_seized(feed: DataFrame, p: RunParams, audit: Audit | None = None) -> DataFrame:
     """Seized balance -> ledger ``SEIZED`` (D3), without outliers of
-    ``p.seized_cap`` and more (``seized_outliers`` lists them)."""
-    rows = (scan_days(feed, p.days)
-            .where((C("rev_seized") < F.lit(p.seized_cap)) & (C("pre_post_flag") == "1")))
+    ``p.seized_cap`` and more (``seized_outliers`` lists them, an ``audit``
+    counts them on the way)."""
+    rows = scan_days(feed, p.days).where(C("pre_post_flag") == "1")
+    rows = watched(audit, rows, "seized_outliers", _over_cap(p))
+    rows = rows.where(C("rev_seized") < F.lit(p.seized_cap))
     geo = {"area_sales": "area_sales", "region_sales": "region_sales", "branch": "branch",
            "subbranch": "sub_branch", "cluster_sales": "cluster_sales", "provinsi": "propinsi",
            "kabupaten": "kabupaten", "kecamatan": "kecamatan", "kelurahan": "kelurahan"}
@@ -183,8 +189,11 @@ def flow_seized(feed: DataFrame, p: RunParams) -> DataFrame:
 
 def seized_outliers(feed: DataFrame, p: RunParams) -> DataFrame:
     """Audit of D3: the prepaid rows its cap leaves out, null amounts included."""
-    over = C("rev_seized").isNull() | (C("rev_seized") >= F.lit(p.seized_cap))
-    return scan_days(feed, p.days).where(over & (C("pre_post_flag") == "1"))
+    return scan_days(feed, p.days).where(_over_cap(p) & (C("pre_post_flag") == "1"))
+
+
+def _over_cap(p: RunParams):
+    return C("rev_seized").isNull() | (C("rev_seized") >= F.lit(p.seized_cap))
 
 
 # ---------------------------------------------------------------- D4 quota
@@ -258,7 +267,7 @@ def ranked_location(location: DataFrame, days, per_day: bool = True) -> DataFram
 
 
 def enrich_charges(charges: DataFrame, profile: DataFrame, current: DataFrame,
-                   fallback: DataFrame, days, fallback_date: str) -> DataFrame:
+                   fallback: DataFrame, days, fallback_date: str, audit: Audit | None = None) -> DataFrame:
     """Charges + profile (J1) + current-or-fallback location.
 
     The profile is not de-duplicated, so a repeated subscriber-day multiplies
@@ -267,13 +276,14 @@ def enrich_charges(charges: DataFrame, profile: DataFrame, current: DataFrame,
     prof = scan_days(profile, days).select(
         "event_date", "msisdn", "brand", "region_hlr",
         "cust_type_desc", "cust_subtype_desc", "customer_sub_segment")
+    charges = watched(audit, charges, "enriched_in")
     out = lookup(charges, prof, ["event_date", "msisdn"], ["event_date", "msisdn"])
     cur = ranked_location(current, days)
     if not isinstance(fallback_date, str):
         raise ValueError("fallback_date must be one day (the prior-period partition)")
     fb = ranked_location(fallback, fallback_date, per_day=False).drop("event_date")
-    return coalesce_sources(out, cur, fb, S.LOCATION_COLUMNS,
-                            ["event_date", "msisdn"], ["msisdn"])
+    out = coalesce_sources(out, cur, fb, S.LOCATION_COLUMNS, ["event_date", "msisdn"], ["msisdn"])
+    return watched(audit, out, "enriched_out")
 
 
 def _stage_keys(columns: list[tuple[str, str]], measure: str, source: dict[str, str]) -> list:
@@ -284,27 +294,27 @@ def _stage_keys(columns: list[tuple[str, str]], measure: str, source: dict[str,
 
 
 def flow_stage(charges: DataFrame, profile: DataFrame, current: DataFrame,
-               fallback: DataFrame, p: RunParams) -> DataFrame:
+               fallback: DataFrame, p: RunParams, audit: Audit | None = None) -> DataFrame:
     """Package-charge stage, 31 columns."""
     rows = (scan_days(charges, p.days)
             .where((C("non_usage_flag") == "1") & (C("status") == S.PACKAGE_OK_STATUS)))
-    rich = enrich_charges(rows, profile, current, fallback, p.days, p.fallback_date)
+    rich = enrich_charges(rows, profile, current, fallback, p.days, p.fallback_date, audit)
     keys = _stage_keys(S.STAGE_COLUMNS, "rev", {"allowance_subtype": "allowance_sub_type"})
     out = rich.groupBy(*keys).agg(F.sum("alloc_tp").alias("rev"))
     return out.select(*[n for n, _ in S.STAGE_COLUMNS])
 
 
 def flow_breakage_stage(charges: DataFrame, profile: DataFrame, current: DataFrame,
-                        fallback: DataFrame, rates: DataFrame, p: RunParams) -> DataFrame:
+                        fallback: DataFrame, rates: DataFrame, p: RunParams, audit: Audit | None = None) -> DataFrame:
     """Breakage stage, 31 columns (D11): enrichment, allowance class, the
     newest seized rate per (class, region), amount x rate."""
     rows = scan_days(charges, p.days).where(C("status") == S.PACKAGE_OK_STATUS)
-    rich = enrich_charges(rows, profile, current, fallback, p.days, p.fallback_date)
+    rich = enrich_charges(rows, profile, current, fallback, p.days, p.fallback_date, audit)
     rich = rich.withColumn("allowance", classify_patterns("allowance_sub_type"))
     keys = _stage_keys(S.BREAKAGE_STAGE_COLUMNS, "breakage", {})
     key_names = [k for k, _ in S.BREAKAGE_STAGE_COLUMNS if k != "breakage"]
     pre = rich.groupBy(*keys).agg(F.sum("alloc_tp").alias("rev"))
-    rated = rate_join(pre, newest_rates(rates), "allowance", "region_sales", ("seized_rate",))
+    rated = rate_join(pre, newest_rates(rates, newest=p.rate_day), "allowance", "region_sales", ("seized_rate",), audit=audit)
     rated = rated.where(null_default_not_equal("brand", S.POSTPAID_BRAND))
     out = rated.groupBy(*key_names).agg(
         F.sum(C("rev") * C("seized_rate")).cast(S.STAGE_MONEY).alias("breakage"))
@@ -352,26 +362,27 @@ def offers_by_charge_id(usage: DataFrame, usage_rejects: DataFrame, voucher: Dat
 
 
 def attach_offers(stage_rows: DataFrame, subscriber_offers: DataFrame,
-                  charge_offers: DataFrame, days) -> DataFrame:
+                  charge_offers: DataFrame, days, audit: Audit | None = None) -> DataFrame:
     """Offer per subscriber-day (J5) and per 32-character charge-id prefix
     (J6); both are left joins that multiply on repeated keys (T2)."""
     by_sub = dedup_keys(scan_days(subscriber_offers, days).select(
         "event_date", "msisdn", C("provider_id").alias("sub_offer_id")),
         ["event_date", "msisdn", "sub_offer_id"])
+    stage_rows = watched(audit, stage_rows, "offers_in")
     out = lookup(stage_rows, by_sub, ["event_date", "msisdn"], ["event_date", "msisdn"],
                  spread_null_keys=True)
     by_id = charge_offers.select(C("charging_id").alias("__charging_id"),
                                  C("offer_id").alias("chg_offer_id"))
     out = lookup(out, by_id, [prefix("transaction_id", 32)], [prefix("__charging_id", 32)],
                  spread_null_keys=True)
-    return out.drop("__charging_id")
+    return watched(audit, out.drop("__charging_id"), "offers_out")
 
 
 def flow_package(stage: DataFrame, subscriber_offers: DataFrame, charge_offers: DataFrame,
-                 p: RunParams) -> DataFrame:
+                 p: RunParams, audit: Audit | None = None) -> DataFrame:
     """Package charges -> ledger ``WISDOM``."""
     rows = scan_days(stage, p.days).where(null_default_not_equal("brand", S.POSTPAID_BRAND))
-    rich = attach_offers(rows, subscriber_offers, charge_offers, p.days)
+    rich = attach_offers(rows, subscriber_offers, charge_offers, p.days, audit)
     mapping = {
         "trx_date": C("trx_date"),
         "purchase_date": C("trx_date"),
@@ -463,9 +474,12 @@ def flow_overusage(feed: DataFrame, p: RunParams) -> DataFrame:
 
 # ---------------------------------------------------------------- D9 / D10 billing
 def _ledger_rows(ledger: DataFrame, p: RunParams) -> DataFrame:
-    """Ledger rows of the run's days; with ``ledger_load_date`` only that load
-    (a day loaded twice is otherwise counted twice, T7)."""
+    """Ledger rows of the run's days; with ``ledger_loads`` only those of the
+    newest loads, with ``ledger_load_date`` only of that load (a day loaded
+    twice is otherwise counted twice, T7)."""
     rows = scan_days(ledger, p.days)
+    if p.ledger_loads is not None:
+        rows = scan_newest_loads(rows, p.ledger_loads)
     if p.ledger_load_date is not None:
         rows = rows.where(C("load_date") == F.lit(p.ledger_load_date))
     return rows
@@ -503,7 +517,7 @@ def flow_unmatched(billing: DataFrame, catalogue: DataFrame, p: RunParams) -> Da
     """Billed charges whose product is not in the day's active catalogue ->
     ledger ``PAYU`` (D9).  Anti join on (day, 8-character product id)."""
     rows = (scan_days(billing, p.days)
-            .where((to_int("pre_post_flag") == 1)
+            .where(equals_one("pre_post_flag")
                    & not_like_folded("l3_name", S.EXCLUDED_L3_PATTERN)
                    & ~C("source").isin(*S.PAYU_EXCLUDED_SOURCES)))
     rows = anti_lookup(rows, _catalogue_ids(catalogue, p.days),
@@ -551,7 +565,7 @@ _BREAKAGE_KEYS = ["trx_date", "transaction_id", "msisdn", "brand", "cust_type_de
 
 
 def flow_breakage(stage: DataFrame, ledger: DataFrame, billing: DataFrame,
-                  rates: DataFrame, p: RunParams) -> DataFrame:
+                  rates: DataFrame, p: RunParams, audit: Audit | None = None) -> DataFrame:
     """Breakage -> ledger ``BREAKAGE`` and ``BREAKAGE-SEIZED``.
 
     Stage breakage plus the *reversed* seized revenue of the purchase month
@@ -559,6 +573,10 @@ def flow_breakage(stage: DataFrame, ledger: DataFrame, billing: DataFrame,
     newest allocation rate per (class, region) (J10/A8).  Amounts are held at
     ``S.WORK_MONEY`` until the rate product, whose digits then all fit, and
     widened to the ledger's type last (T22).
+
+    The breakage set is written to the shared folder first.  Its size is then
+    known, and only the billing rows of its subscribers are de-duplicated
+    (``reduce_to``).
     """
     if not p.purchase_month:
         raise ValueError("purchase_month is required: without it no seized row is reversed")
@@ -581,14 +599,16 @@ def flow_breakage(stage: DataFrame, ledger: DataFrame, billing: DataFrame,
         .withColumn("tag", F.lit(S.TAG_BREAKAGE_SEIZED)))
     both = union_all([staged, seized]).groupBy(*_BREAKAGE_KEYS, "tag").agg(
         F.sum("breakage").cast(S.WORK_MONEY).alias("breakage"))
-    offers = dedup_keys(
-        scan_days(billing, p.days).where(C("pre_post_flag") == "1")
-        .select("event_date", "msisdn", C("offer_id").alias("bill_offer_id")),
-        ["event_date", "msisdn", "bill_offer_id"])
+    both = handed_off(both, "breakage-set")
+    billed = scan_days(billing, p.days).where(C("pre_post_flag") == "1").select(
+        "event_date", "msisdn", C("offer_id").alias("bill_offer_id"))
+    offers = dedup_keys(reduce_to(billed, both, ["event_date", "msisdn"]), ["event_date", "msisdn", "bill_offer_id"])
+    both = watched(audit, both, "offers_in")
     rich = lookup(both, offers, ["event_date", "msisdn"], ["event_date", "msisdn"],
                   spread_null_keys=True)
-    rated = rate_join(rich, newest_rates(rates), "allowance", "region_sales",
-                      ("allocation_rate",))
+    rich = watched(audit, rich, "offers_out")
+    rated = rate_join(rich, newest_rates(rates, newest=p.rate_day), "allowance", "region_sales",
+                      ("allocation_rate",), audit=audit)
     mapping = {
         "trx_date": C("trx_date"),
         "purchase_date": C("trx_date"),

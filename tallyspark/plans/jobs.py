@@ -21,8 +21,9 @@ arguments are passed as values, never spliced into SQL text.
 from __future__ import annotations
 
 import argparse
+import json
 import sys
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date, timedelta
 from typing import Callable, Sequence
 
@@ -30,10 +31,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyspark import schema as S
 from tallyspark.operators import key_totals, merge_full_sync, overwrite_partitions, promote
-from tallyspark.operators.sinks import refresh
+from tallyspark.operators.audit import Audit
+from tallyspark.operators.sinks import ensure_table, refresh
 from tallyspark.plans import flows
 from tallyspark.plans.params import RunParams
-from tallyspark.sources.scans import key_list
+from tallyspark.sources.scans import key_list, newest_loads, newest_partition
+from tallyspark.sources.store import is_path
 
 
 @dataclass(frozen=True)
@@ -57,43 +60,43 @@ def _offers(i: dict[str, DataFrame], p: RunParams) -> DataFrame:
 
 
 JOBS: dict[str, JobSpec] = {
-    "charge": JobSpec(lambda i, p: flows.flow_charge(i["feed"], p), ("feed",),
+    "charge": JobSpec(lambda i, p, a: flows.flow_charge(i["feed"], p), ("feed",),
                       S.LEDGER_PARTITIONS, "usage charges -> ledger CHG", (S.TAG_CHG,)),
-    "expiry": JobSpec(lambda i, p: flows.flow_expiry(i["feed"], p), ("feed",),
+    "expiry": JobSpec(lambda i, p, a: flows.flow_expiry(i["feed"], p), ("feed",),
                       S.LEDGER_PARTITIONS, "expiry-dated value -> ledger PI", (S.TAG_PI,)),
-    "seized": JobSpec(lambda i, p: flows.flow_seized(i["feed"], p), ("feed",),
+    "seized": JobSpec(lambda i, p, a: flows.flow_seized(i["feed"], p, a), ("feed",),
                       S.LEDGER_PARTITIONS, "seized balance -> ledger SEIZED", (S.TAG_SEIZED,)),
-    "quota": JobSpec(lambda i, p: flows.flow_upcc(i["feed"], p), ("feed",),
+    "quota": JobSpec(lambda i, p, a: flows.flow_upcc(i["feed"], p), ("feed",),
                      S.LEDGER_PARTITIONS, "quota usage -> ledger UPCC-SEIZED / UPCC_USAGE", (S.TAG_UPCC_SEIZED, S.TAG_UPCC_USAGE)),
-    "accrual": JobSpec(lambda i, p: flows.flow_accrual(i["feed"], p), ("feed",),
+    "accrual": JobSpec(lambda i, p, a: flows.flow_accrual(i["feed"], p), ("feed",),
                        S.LEDGER_PARTITIONS, "daily accrual -> ledger ACCRUAL", (S.TAG_ACCRUAL,), shift=-1),
-    "overusage": JobSpec(lambda i, p: flows.flow_overusage(i["feed"], p), ("feed",),
+    "overusage": JobSpec(lambda i, p, a: flows.flow_overusage(i["feed"], p), ("feed",),
                          S.LEDGER_PARTITIONS, "over-usage -> ledger OVERUSAGE", (S.TAG_OVERUSAGE,)),
-    "unmatched": JobSpec(lambda i, p: flows.flow_unmatched(i["billing"], i["catalogue"], p),
+    "unmatched": JobSpec(lambda i, p, a: flows.flow_unmatched(i["billing"], i["catalogue"], p),
                          ("billing", "catalogue"), S.LEDGER_PARTITIONS,
                          "billed charges not in the catalogue -> ledger PAYU", (S.TAG_PAYU,)),
-    "late_match": JobSpec(lambda i, p: flows.flow_late_match(i["billing"], i["catalogue"],
+    "late_match": JobSpec(lambda i, p, a: flows.flow_late_match(i["billing"], i["catalogue"],
                                                              i["ledger"], p),
                           ("billing", "catalogue", "ledger"), S.LEDGER_PARTITIONS,
                           "catalogued digital charges not yet recognised -> ledger WISDOM-NBP", (S.TAG_WISDOM_NBP,)),
-    "package_stage": JobSpec(lambda i, p: flows.flow_stage(i["charges"], i["profile"],
+    "package_stage": JobSpec(lambda i, p, a: flows.flow_stage(i["charges"], i["profile"],
                                                            i["location_current"],
-                                                           i["location_fallback"], p),
+                                                           i["location_fallback"], p, a),
                              ("charges", "profile", "location_current", "location_fallback"),
                              ("event_date",), "package-charge stage", needs=("fallback_date",)),
-    "package": JobSpec(lambda i, p: flows.flow_package(i["stage"], i["subscriber_offers"],
-                                                       _offers(i, p), p),
+    "package": JobSpec(lambda i, p, a: flows.flow_package(i["stage"], i["subscriber_offers"],
+                                                       _offers(i, p), p, a),
                        ("stage", "subscriber_offers", "usage_offers", "usage_rejects",
                         "voucher_offers", "voucher_rejects", "recharge_offers",
                         "recharge_rejects"), S.LEDGER_PARTITIONS,
                        "package-charge stage -> ledger WISDOM", (S.TAG_WISDOM,)),
-    "breakage_stage": JobSpec(lambda i, p: flows.flow_breakage_stage(
+    "breakage_stage": JobSpec(lambda i, p, a: flows.flow_breakage_stage(
         i["charges"], i["profile"], i["location_current"], i["location_fallback"],
-        i["rates"], p),
+        i["rates"], p, a),
         ("charges", "profile", "location_current", "location_fallback", "rates"),
         ("event_date",), "breakage stage", needs=("fallback_date",)),
-    "breakage": JobSpec(lambda i, p: flows.flow_breakage(i["stage"], i["ledger"], i["billing"],
-                                                         i["rates"], p),
+    "breakage": JobSpec(lambda i, p, a: flows.flow_breakage(i["stage"], i["ledger"], i["billing"],
+                                                         i["rates"], p, a),
                         ("stage", "ledger", "billing", "rates"), S.LEDGER_PARTITIONS,
                         "breakage -> ledger BREAKAGE / BREAKAGE-SEIZED", (S.TAG_BREAKAGE, S.TAG_BREAKAGE_SEIZED),
                         needs=("purchase_month",)),
@@ -101,14 +104,18 @@ JOBS: dict[str, JobSpec] = {
 
 
 def read_input(spark: SparkSession, name: str) -> DataFrame:
-    if "/" in name or ":" in name:
-        return spark.read.parquet(name)
-    return spark.table(name)
+    return spark.read.parquet(name) if is_path(name) else spark.table(name)
 
 
 def run_job(spark: SparkSession, job: str, inputs: dict[str, str], target: str | None,
-            params: RunParams) -> DataFrame:
-    """Run one flow; write it to ``target`` when given, and return it."""
+            params: RunParams, audit: Audit | None = None) -> DataFrame:
+    """Run one flow; write it to ``target`` when given, and return it.
+
+    The newest rate snapshot and, with ``newest_ledger_loads``, the newest
+    load of each day of the ledger come from the inputs' partition lists.  A
+    catalog target that does not exist is created; one of another layout is
+    refused.  What the flow drops and multiplies is counted in ``audit``.
+    """
     spec = JOBS[job]
     missing = [r for r in spec.inputs if r not in inputs]
     missing += [n for n in spec.needs if getattr(params, n) is None]
@@ -117,11 +124,18 @@ def run_job(spark: SparkSession, job: str, inputs: dict[str, str], target: str |
     if missing:
         raise ValueError(f"job {job} needs {missing}")
     frames = {role: read_input(spark, inputs[role]) for role in spec.inputs}
-    out = spec.run(frames, params)
+    if "rates" in inputs and params.rate_day is None:
+        params = replace(params, rate_day=newest_partition(spark, inputs["rates"]))
+    if "ledger" in spec.inputs and params.newest_ledger_loads:
+        params = replace(params, ledger_loads=tuple(newest_loads(spark, inputs["ledger"])))
+    out = spec.run(frames, params, audit)
     if target:
         one_day = isinstance(params.days, str)
+        cluster = ("msisdn",) if spec.tags else ()
+        if not is_path(target):
+            ensure_table(spark, target, out.schema, spec.partitions, cluster)
         overwrite_partitions(out, target, spec.partitions, "rows" if one_day else "partitions",
-                             owned_partitions(spec, params))
+                             owned_partitions(spec, params), cluster)
         refresh(spark, target)
     return out
 
@@ -164,6 +178,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     ap.add_argument("--all-offers", action="store_true", help="read all history of the offer feeds")
     ap.add_argument("--run-date", help="partition holding today's rejects (default: today)")
     ap.add_argument("--ledger-load-date")
+    ap.add_argument("--newest-ledger-loads", action="store_true", help="count only the newest load of each ledger day and tag")
     ap.add_argument("--input", action="append", default=[], help="role=table-or-path")
     ap.add_argument("--target")
     ap.add_argument("--preview", type=int, help="show so many rows instead of writing")
@@ -191,12 +206,15 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         return 0
     if a.job == "lookup":
         out = key_totals(read_input(spark, inputs["ledger"]), key_list(spark, a.keys))
-        if a.target and ("/" in a.target or ":" in a.target):
+        if a.target and is_path(a.target):
             out.write.mode("overwrite").parquet(a.target)
         elif a.target:
             out.write.mode("overwrite").saveAsTable(a.target)
     else:
-        out = run_job(spark, a.job, inputs, a.target, params)
+        audit = Audit()
+        out = run_job(spark, a.job, inputs, a.target, params, audit)
+        if a.target:
+            print(json.dumps(audit.report()))
     if a.preview:
         out.show(a.preview, False)
     return 0
@@ -225,7 +243,8 @@ def run_params(a: argparse.Namespace) -> RunParams:
             raise ValueError(f"{a.job} needs --{name.replace('_', '-')}")
     return RunParams(load_date=a.load_date, days=day or span, fallback_date=a.fallback_date,
                      purchase_month=a.purchase_month, offer_window=offers,
-                     run_date=a.run_date, ledger_load_date=a.ledger_load_date)
+                     run_date=a.run_date, ledger_load_date=a.ledger_load_date,
+                     newest_ledger_loads=a.newest_ledger_loads)
 
 
 def _both(first: str | None, last: str | None, names: str) -> tuple[str, str] | None:

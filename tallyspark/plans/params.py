@@ -28,5 +28,12 @@ class RunParams:
     # read only this load of the ledger in the flows that read it back (T7);
     # None keeps the original behaviour: every load of the day counts
     ledger_load_date: str | None = None
+    # partitions of the newest loads of the ledger, from its partition list
+    # (newest_loads); a day loaded twice then counts once
+    ledger_loads: tuple | None = None
+    # have a job find them
+    newest_ledger_loads: bool = False
+    # newest rate snapshot, from the partition list; None: found by a scan
+    rate_day: str | None = None
     # seized amounts from here on are outliers and left out (D3)
     seized_cap: int = SEIZED_CAP

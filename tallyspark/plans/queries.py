@@ -13,6 +13,8 @@ read back.
 from __future__ import annotations
 
 import threading
+import uuid
+from dataclasses import replace
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +24,7 @@ from tallyspark import schema as S
 from tallyspark.functions import (
     classify_patterns,
     day_shift,
+    equals_one,
     hex_epoch_day,
     not_like_folded,
     nth_token,
@@ -34,8 +37,10 @@ from tallyspark.functions import (
     unknown_if_blank,
 )
 from tallyspark.operators import (
+    Audit,
     coalesce_sources,
     dedup_keys,
+    ensure_table,
     key_totals,
     ledger_project,
     ledger_rollup,
@@ -45,6 +50,7 @@ from tallyspark.operators import (
     newest_rates,
     overwrite_partitions,
     promote,
+    publish,
     rate_join,
     read_target,
     semi_lookup,
@@ -54,7 +60,15 @@ from tallyspark.plans import flows
 from tallyspark.plans.params import RunParams
 from tallyspark.session import ensure_session_defaults, scratch_path
 from tallyspark.sources import driver as D
-from tallyspark.sources.scans import latest_snapshot, scan_day, scan_range, scan_reject
+from tallyspark.sources.scans import (
+    latest_snapshot,
+    newest_loads,
+    newest_partition,
+    scan_day,
+    scan_newest_loads,
+    scan_range,
+    scan_reject,
+)
 
 C = F.col
 
@@ -67,6 +81,8 @@ PARAMS = RunParams(load_date=D.LOAD_DATE, days=None, fallback_date=D.FALLBACK_DA
 ACCRUAL_LOAD = "2024-01-16"
 # The promotion test stages a newer load of these days.
 PROMOTE_FROM = "2024-01-16"
+# Load day of the superseded ledger load.
+EARLIER_LOAD = "2024-02-01"
 
 _FEEDS: dict[tuple[str, str], D.DriverFeeds] = {}
 _FEEDS_LOCK = threading.Lock()
@@ -82,7 +98,12 @@ def feeds(spark: SparkSession, sf_dir: str) -> D.DriverFeeds:
         return _FEEDS[key]
 
 
-def handoff(spark: SparkSession, sf_dir: str, name: str, build, partitions) -> DataFrame:
+def with_rates(spark: SparkSession, sf_dir: str, params: RunParams) -> RunParams:
+    """``params`` with the newest rate snapshot, from the partition list."""
+    return replace(params, rate_day=newest_partition(spark, feeds(spark, sf_dir).path("rates")))
+
+
+def handoff(spark: SparkSession, sf_dir: str, name: str, build, partitions, cluster_by=()) -> DataFrame:
     """A table one flow writes and a later flow reads (stage, ledger).
 
     Written once per session with dynamic partition overwrite under the
@@ -98,7 +119,7 @@ def handoff(spark: SparkSession, sf_dir: str, name: str, build, partitions) -> D
             schema = None
             for df in build():
                 schema = df.schema
-                overwrite_partitions(df, path, partitions)
+                overwrite_partitions(df, path, partitions, cluster_by=cluster_by)
             f._cache[cache_key] = read_target(spark, path, schema).select(*schema.names)
         return f._cache[cache_key]
 
@@ -166,7 +187,7 @@ def ledger_table(spark, sf) -> DataFrame:
         parts = [q_flow_charge(spark, sf), q_flow_seized(spark, sf), q_flow_upcc(spark, sf),
                  q_flow_unmatched(spark, sf), q_flow_package(spark, sf)]
         return [union_all(parts)]
-    return handoff(spark, sf, "ledger", build, list(S.LEDGER_PARTITIONS))
+    return handoff(spark, sf, "ledger", build, list(S.LEDGER_PARTITIONS), ["msisdn"])
 
 
 def q_flow_late_match(spark, sf):
@@ -176,7 +197,7 @@ def q_flow_late_match(spark, sf):
 
 def q_flow_breakage_stage(spark, sf):
     f = feeds(spark, sf)
-    return flows.flow_breakage_stage(f.package, f.profile, f.location, f.location, f.rates, PARAMS)
+    return flows.flow_breakage_stage(f.package, f.profile, f.location, f.location, f.rates, with_rates(spark, sf, PARAMS))
 
 
 def breakage_stage_table(spark, sf) -> DataFrame:
@@ -187,7 +208,7 @@ def breakage_stage_table(spark, sf) -> DataFrame:
 def q_flow_breakage(spark, sf):
     f = feeds(spark, sf)
     return flows.flow_breakage(breakage_stage_table(spark, sf), ledger_table(spark, sf),
-                               f.billing, f.rates, PARAMS)
+                               f.billing, f.rates, with_rates(spark, sf, PARAMS))
 
 
 # ------------------------------------------------------------------ scans
@@ -209,7 +230,29 @@ def q_scan_reject(spark, sf):
 def q_latest_snapshot(spark, sf):
     """Rows of the newest catalogue listing day (the same scan the rate table
     gets inside the breakage flows, on a table that grows with the data)."""
-    return latest_snapshot(feeds(spark, sf).catalogue)
+    f = feeds(spark, sf)
+    return latest_snapshot(f.catalogue, newest=newest_partition(spark, f.path("catalogue")))
+
+
+def q_scan_reject_today(spark, sf):
+    """Rejects of the day the query runs on (X16): the newest reject
+    partition is laid under today's date, and no run date is given."""
+    rows = feeds(spark, sf).usage_rejects
+    today = F.when(C("event_date") == F.lit(D.RUN_DATE).cast("date"), F.current_date()).otherwise(C("event_date"))
+    return scan_reject(rows.withColumn("event_date", today), None, RANGE).select("trx_date", "charging_id", "provider_id")
+
+
+def q_newest_loads(spark, sf):
+    """A ledger whose later days were loaded twice for one tag: the newest
+    load of each day and tag (T7)."""
+    f = feeds(spark, sf)
+    target, struct = scratch_path(spark, "ledger"), S.ledger_struct()
+    morning = f.charge.where(F.substring("timestamp_ifrs", 9, 2) < "12")
+    early = replace(PARAMS, load_date=EARLIER_LOAD)
+    overwrite_partitions(flows.flow_charge(morning, early).unionByName(flows.flow_seized(f.seized, early)), target, S.LEDGER_PARTITIONS)
+    overwrite_partitions(flows.flow_charge(f.charge.where(C("event_date") >= F.lit(PROMOTE_FROM).cast("date")), PARAMS),
+                         target, S.LEDGER_PARTITIONS)
+    return scan_newest_loads(read_target(spark, target, struct), newest_loads(spark, target)).select(*S.LEDGER_NAMES)
 
 
 # ------------------------------------------------------------------ filters / columns
@@ -222,7 +265,7 @@ def q_filters_basic(spark, sf):
 
 def q_filters_nulls(spark, sf):
     b = feeds(spark, sf).billing
-    rows = b.where((to_int("pre_post_flag") == 1)
+    rows = b.where(equals_one("pre_post_flag")
                    & not_like_folded("l3_name", S.EXCLUDED_L3_PATTERN)
                    & ~C("source").isin(*S.PAYU_EXCLUDED_SOURCES)
                    & null_default_not_equal("brand", S.POSTPAID_BRAND))
@@ -355,7 +398,7 @@ def q_rate_allocate(spark, sf):
     ch = f.charge.select("event_date", "msisdn", "transaction_id", "customer_sub_segment",
                          "rev_per_usage",
                          classify_patterns("l3_allowance_type").alias("allowance"))
-    rated = rate_join(ch, newest_rates(f.rates), "allowance", "customer_sub_segment",
+    rated = rate_join(ch, newest_rates(f.rates, newest=newest_partition(spark, f.path("rates"))), "allowance", "customer_sub_segment",
                       ("seized_rate", "allocation_rate"))
     return rated.select("event_date", "msisdn", "transaction_id", "allowance",
                         C("customer_sub_segment").alias("region"),
@@ -407,6 +450,21 @@ def q_merge_target(spark, sf):
     return read_target(spark, target, f.voucher_target.schema).select(*f.voucher_target.columns)
 
 
+def q_merge_recovered(spark, sf):
+    """The same merge after a run that broke off once it had decided: its
+    replacement, of all but the first of the merge's days, is finished, then
+    merged over."""
+    f = feeds(spark, sf)
+    target, rows = scratch_path(spark, "voucher"), f.voucher_source
+    overwrite_partitions(f.voucher_target, target, ["event_date"])
+    later = rows.where(C("event_date") > rows.select(F.min("event_date")).scalar())
+    publish.decide(spark, target, publish.stage(spark, later, target, ["event_date"]), rows.schema)
+    counts = merge_full_sync(spark, rows, target, list(S.VOUCHER_MERGE_KEYS), ["event_date"], rows.schema)
+    merged = read_target(spark, target, rows.schema).select(*rows.columns)
+    return merged.withColumns({"n_updated": F.lit(counts.update).cast("long"), "n_inserted": F.lit(counts.insert).cast("long"),
+                               "n_deleted": F.lit(counts.delete).cast("long")})
+
+
 def _promoted(spark, rows: DataFrame, earlier: str, day_col: str, keys: list[str]) -> DataFrame:
     """An earlier load holding only the ``earlier`` rows, then a full reload
     of the later days staged and promoted by the partition ``keys``."""
@@ -421,6 +479,61 @@ def q_promote(spark, sf):
     return _promoted(spark, feeds(spark, sf).location, "node_type != 'error'", "event_date", ["event_date"])
 
 
+def _table(spark, name: str, rows: DataFrame, keys: list[str]) -> str:
+    """A catalog table of this run with ``rows`` in it."""
+    table = f"{name}_{uuid.uuid4().hex[:12]}"
+    ensure_table(spark, table, rows.schema, keys)
+    overwrite_partitions(rows, table, keys)
+    return table
+
+
+def _promoted_table(spark, sf, clear: bool) -> DataFrame:
+    """Locations promoted between catalog tables; rows a day of the target
+    and of what is left of the staged table."""
+    rows = feeds(spark, sf).location
+    target = _table(spark, "promoted", rows.where("node_type != 'error'"), ["event_date"])
+    staged = _table(spark, "staged", rows.where(C("event_date") >= F.lit(PROMOTE_FROM).cast("date")), ["event_date"])
+    promote(spark, staged, target, ["event_date"], target_columns=spark.table(target).columns,
+            clear_source=clear, drop_source=not clear)
+    sides = [spark.table(target).withColumn("side", F.lit("target"))]
+    if spark.catalog.tableExists(staged):
+        sides.append(spark.table(staged).withColumn("side", F.lit("staged")))
+    return union_all(sides).groupBy("side", "event_date").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def q_promote_clear(spark, sf):
+    """The staged table is truncated once it is promoted (K5)."""
+    return _promoted_table(spark, sf, clear=True)
+
+
+def q_promote_drop(spark, sf):
+    """The staged table is dropped once it is promoted (K6)."""
+    return _promoted_table(spark, sf, clear=False)
+
+
+def q_first_load(spark, sf):
+    """A ledger load into a catalog that has no ledger yet, and a second one
+    into the table the first has made (K1, K7)."""
+    f = feeds(spark, sf)
+    table, loads = f"ledger_{uuid.uuid4().hex[:12]}", []
+    for flow, feed, tag in ((flows.flow_charge, f.charge, S.TAG_CHG), (flows.flow_seized, f.seized, S.TAG_SEIZED)):
+        rows = flow(feed, PARAMS)
+        loads.append(ensure_table(spark, table, S.ledger_struct(), S.LEDGER_PARTITIONS, ["msisdn"]))
+        overwrite_partitions(rows, table, S.LEDGER_PARTITIONS, cluster_by=["msisdn"])
+    return spark.table(table).select(*S.LEDGER_NAMES, F.lit(loads == [True, False]).alias("made_once"))
+
+
+def q_flow_audit(spark, sf):
+    """What the flows drop and multiply, counted while they run (T2, T16,
+    F7)."""
+    f, audit = feeds(spark, sf), Audit()
+    flows_run = [flows.flow_breakage_stage(f.package, f.profile, f.location, f.location, f.rates, with_rates(spark, sf, PARAMS), audit),
+                 flows.flow_seized(f.seized, PARAMS, audit)]
+    for rows in flows_run:
+        rows.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame(sorted(audit.report().items()), "name string, n long")
+
+
 def q_promote_two_keys(spark, sf):
     """Keyed by event day and load day (M5, M6)."""
     rows = feeds(spark, sf).accrual.select("event_date", "load_date", "transaction_id", "charge_code", "rev")
@@ -488,7 +601,7 @@ def q_daily_late_match(spark, sf):
 def q_daily_breakage(spark, sf):
     f = feeds(spark, sf)
     return _into_own_ledger(spark, sf, lambda ledger: flows.flow_breakage(
-        breakage_stage_table(spark, sf), ledger, f.billing, f.rates, _daily()))
+        breakage_stage_table(spark, sf), ledger, f.billing, f.rates, with_rates(spark, sf, _daily())))
 
 
 def q_key_lookup(spark, sf):
@@ -507,6 +620,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_day": q_scan_day,
     "scan_range": q_scan_range,
     "scan_reject": q_scan_reject,
+    "scan_reject_today": q_scan_reject_today,
     "latest_snapshot": q_latest_snapshot,
     "filters_basic": q_filters_basic,
     "filters_nulls": q_filters_nulls,
@@ -533,7 +647,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "overwrite_partition": q_overwrite_partition,
     "merge_full_sync": q_merge_full_sync,
     "merge_target": q_merge_target,
+    "merge_recovered": q_merge_recovered,
+    "newest_loads": q_newest_loads,
+    "first_load": q_first_load,
     "promote": q_promote,
+    "promote_clear": q_promote_clear,
+    "promote_drop": q_promote_drop,
+    "flow_audit": q_flow_audit,
     "promote_two_keys": q_promote_two_keys,
     "promote_load_date": q_promote_load_date,
     "promote_expiry_date": q_promote_expiry_date,

@@ -507,6 +507,11 @@ class DriverFeeds:
             self._root = scratch_path(self.spark, "feeds")
         return self._root
 
+    def path(self, name: str) -> str:
+        """Where a feed is written; writes it if it is not there yet."""
+        self.feed(name)
+        return f"{self.root}/{name}"
+
     def _usage_base(self) -> DataFrame:
         t = self.t
         e = t["events"]

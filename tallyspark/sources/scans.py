@@ -13,11 +13,13 @@ into ``PartitionFilters`` (directory pruning) for partitioned tables and
 
 from __future__ import annotations
 
-from typing import Union
+from typing import Sequence, Union
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyspark.sources.store import partition_specs
+
 Days = Union[None, str, tuple[str, str]]
 
 
@@ -57,15 +59,39 @@ def scan_reject(df: DataFrame, run_date: str | None, window: Days,
     return out if pred is None else out.where(pred)
 
 
-def newest_partition(spark: SparkSession, table: str, col: str = "event_date") -> str | None:
-    """Newest value of a catalog table's partition column, from the partition
-    list alone; None for paths and tables that are not partitioned by it."""
-    if "/" in table or ":" in table or col not in {
-            c.name for c in spark.catalog.listColumns(table) if c.isPartition}:
-        return None
-    specs = [r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
-    values = [dict(p.partition("=")[::2] for p in s.split("/")).get(col) for s in specs]
-    return max((v for v in values if v and v != "__HIVE_DEFAULT_PARTITION__"), default=None)
+def newest_partition(spark: SparkSession, name: str, col: str = "event_date") -> str | None:
+    """Newest value of a partition column of a path or catalog table, from
+    the partition list alone (S11); None where nothing is partitioned by it.
+
+    Values compare as text, as ISO days do."""
+    return max((v for v in (s.get(col) for s in partition_specs(spark, name)) if v), default=None)
+
+
+def newest_loads(spark: SparkSession, name: str, by: Sequence[str] = ("event_date", "source"),
+                 load_col: str = "load_date") -> list[dict[str, str | None]]:
+    """For every combination of the ``by`` partition columns the partition of
+    its newest load, from the partition list alone."""
+    newest: dict[tuple, str] = {}
+    for spec in partition_specs(spark, name):
+        key, load = tuple(spec.get(c) for c in by), spec.get(load_col)
+        if load is not None and load > newest.get(key, ""):
+            newest[key] = load
+    return [dict(zip(by, key, strict=True)) | {load_col: load} for key, load in newest.items()]
+
+
+def scan_newest_loads(df: DataFrame, loads: Sequence[dict[str, str | None]]) -> DataFrame:
+    """Rows of the partitions ``newest_loads`` names (T7): a day loaded twice
+    counts once.
+
+    The condition is on partition columns alone, so it prunes folders:
+    superseded loads are not read.  Null partition values match null."""
+    if not loads:
+        return df.where(F.lit(False))
+    cols = list(loads[0])
+    # neither character can stand in a partition folder's name unescaped
+    named = ["\0".join("\1" if s[c] is None else s[c] for c in cols) for s in loads]
+    key = F.concat_ws("\0", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\1")) for c in cols])
+    return df.where(key.isin(named))
 
 
 def latest_snapshot(df: DataFrame, col: str = "event_date", newest: str | None = None) -> DataFrame:
