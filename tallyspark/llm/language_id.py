@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm.shared import slices
+from tallyspark.llm.shared import neutral, slices
 
 UNDETERMINED = "und"
 #: Bound of the sample the network is fitted on.
@@ -257,7 +257,8 @@ def predict(spark: SparkSession, docs: DataFrame, network: Network | None) -> Da
 
 def accepted(spark: SparkSession, docs: DataFrame, network: Network | None, least: float = LEAST_SCORE) -> DataFrame:
     """The rows of ``docs`` with a determined language scored ``least`` or
-    more; without a network, those with a letter."""
+    more; without a network, those with a letter.  Other columns pass through
+    whatever their names."""
     shared = spark.sparkContext.broadcast(network)
 
     def keep(batches):
@@ -270,8 +271,9 @@ def accepted(spark: SparkSession, docs: DataFrame, network: Network | None, leas
                 usable[rows] = net.pooled(texts).max(axis=1) >= least
             yield batch.drop_columns(["__letters"]).filter(pa.array(usable))
 
+    rows, restored = neutral(docs, ["text"])
     letters = F.col("text").rlike(r"\p{L}").alias("__letters")
-    return docs.select(*docs.columns, letters).mapInArrow(keep, docs.schema)
+    return restored(rows.select("*", letters).mapInArrow(keep, rows.schema))
 
 
 def language_id(spark: SparkSession, docs: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ so a lost executor never takes one with it.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -27,6 +27,16 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def neutral(docs: DataFrame, kept: Iterable[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with every column but the ``kept`` ones under a name of ours,
+    by place, and what gives a result with the same columns its names back.
+    So columns of any name, also one with a dot or one that a stage uses
+    itself, pass through a stage unharmed."""
+    names, kept = docs.columns, set(kept)
+    renamed = docs.toDF(*[n if n in kept else f"col_{i}" for i, n in enumerate(names)])
+    return renamed, lambda out: out.toDF(*names)
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text",
            limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in smaller batches: each holds about ``limit`` bytes of

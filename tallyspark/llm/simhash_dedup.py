@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.llm.components import components
-from tallyspark.llm.shared import slices, stored
+from tallyspark.llm.shared import neutral, slices, stored
 
 SEED = 42
 BUCKET_ROWS = 8192
@@ -243,8 +243,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, shingle: int = 4, max_
 
 def keep_one(spark: SparkSession, docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
     """One row of ``docs`` per component: the one with the smallest doc_id (a
-    null counts as the largest), of several texts under it one."""
+    null counts as the largest), of several texts under it one.  Other columns
+    pass through whatever their names."""
     names = ("__n1", "__n2")
+    docs, restored = neutral(docs, ["doc_id", "text"])
     rows = named(docs)
     prints = stored(spark, fingerprints(rows, shingle, names), "fingerprints")
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", *names)
@@ -257,6 +259,6 @@ def keep_one(spark: SparkSession, docs: DataFrame, shingle: int = 4, max_bits: i
     single, several = kept.where("copies = 1").drop("copies"), kept.where("copies > 1").drop("copies")
     once = rows.join(single, same(rows), "left_semi").drop(*names)
     if several.isEmpty():  # no kept row occurs twice: the texts need not be read again
-        return once
+        return restored(once)
     rest = rows.join(several, same(rows), "left_semi").dropDuplicates(["doc_id", *names]).drop(*names)
-    return once.unionByName(rest)
+    return restored(once.unionByName(rest))
