@@ -175,6 +175,23 @@ class MergeCounts:
     delete: int
 
 
+def merge_counts(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row: how many target rows a full-sync merge updates and deletes
+    and how many source rows it inserts, the most target rows of a matched
+    key, and a key with several source rows for its target row.
+
+    Only keys travel, each once per side."""
+    s = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_s")).alias("s")
+    t = target.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_t")).alias("t")
+    same = reduce(lambda a, b: a & b, [F.col(f"s.{k}") == F.col(f"t.{k}") for k in keys])
+    matched = F.col("n_s").isNotNull() & F.col("n_t").isNotNull()
+    total = lambda n, where: F.coalesce(F.sum(F.when(where, F.col(n))), F.lit(0))
+    return s.join(t, same, "full_outer").agg(
+        total("n_t", matched).alias("update"), total("n_s", F.col("n_t").isNull()).alias("insert"),
+        total("n_t", F.col("n_s").isNull()).alias("delete"), F.max(F.when(matched, F.col("n_t"))).alias("repeats"),
+        F.max(F.when(matched & (F.col("n_s") > 1), F.struct(*[F.col(f"s.{k}").cast("string") for k in keys]))).alias("twice"))
+
+
 def merge_full_sync(spark: SparkSession, source: DataFrame | str, target: str, keys: Sequence[str],
                     partition_cols: Sequence[str] = (), schema: T.StructType | None = None,
                     allow_empty: bool = False, clear_source: bool = False) -> MergeCounts:
@@ -202,16 +219,7 @@ def merge_full_sync(spark: SparkSession, source: DataFrame | str, target: str, k
             refresh(spark, name)
     rows = read_target(spark, source, schema) if isinstance(source, str) else source
     current = read_target(spark, target, schema)
-    s = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_s")).alias("s")
-    t = current.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_t")).alias("t")
-    same = reduce(lambda a, b: a & b, [F.col(f"s.{k}") == F.col(f"t.{k}") for k in keys])
-    matched = F.col("n_s").isNotNull() & F.col("n_t").isNotNull()
-    total = lambda n, where: F.coalesce(F.sum(F.when(where, F.col(n))), F.lit(0))
-    found = s.join(t, same, "full_outer").agg(
-        total("n_t", matched).alias("update"), total("n_s", F.col("n_t").isNull()).alias("insert"),
-        total("n_t", F.col("n_s").isNull()).alias("delete"), F.max(F.when(matched, F.col("n_t"))).alias("repeats"),
-        F.max(F.when(matched & (F.col("n_s") > 1), F.struct(*[F.col(f"s.{k}").cast("string") for k in keys]))).alias("twice"),
-    ).first()
+    found = merge_counts(current, rows, keys).first()
     if found.twice is not None:
         raise ValueError(f"merge source has several rows for one target row: {found.twice.asDict()}")
     if not allow_empty and not found["update"] and not found["insert"]:

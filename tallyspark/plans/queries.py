@@ -583,24 +583,31 @@ def q_daily_package(spark, sf):
     return flows.flow_package(stage_table(spark, sf), f.subscriber_offers, offers, p)
 
 
-def _into_own_ledger(spark, sf, flow) -> DataFrame:
+def own_ledger(spark, sf, name: str) -> str:
+    """Path of a ledger that a daily flow both reads and writes: a copy of the
+    hand-off ledger, made once per session (``prepare``).  A flow replaces only
+    partitions it does not read, so it can run on it again."""
+    handoff(spark, sf, name, lambda: [ledger_table(spark, sf)], list(S.LEDGER_PARTITIONS))
+    return f"{feeds(spark, sf).root}/{name}"
+
+
+def _into_own_ledger(spark, sf, name: str, flow) -> DataFrame:
     """Run a daily flow that reads the ledger and writes another partition of
     the same table (S6); the day's ledger read back."""
-    target = scratch_path(spark, "ledger")
-    struct = S.ledger_struct()
-    overwrite_partitions(ledger_table(spark, sf), target, S.LEDGER_PARTITIONS)
+    target, struct = own_ledger(spark, sf, name), S.ledger_struct()
     overwrite_partitions(flow(read_target(spark, target, struct)), target, S.LEDGER_PARTITIONS, "rows")
     return scan_day(read_target(spark, target, struct), DAY).select(*S.LEDGER_NAMES)
 
 
 def q_daily_late_match(spark, sf):
     f = feeds(spark, sf)
-    return _into_own_ledger(spark, sf, lambda ledger: flows.flow_late_match(f.billing, f.catalogue, ledger, _daily()))
+    return _into_own_ledger(spark, sf, "ledger_late_match", lambda ledger: flows.flow_late_match(
+        f.billing, f.catalogue, ledger, _daily()))
 
 
 def q_daily_breakage(spark, sf):
     f = feeds(spark, sf)
-    return _into_own_ledger(spark, sf, lambda ledger: flows.flow_breakage(
+    return _into_own_ledger(spark, sf, "ledger_breakage", lambda ledger: flows.flow_breakage(
         breakage_stage_table(spark, sf), ledger, f.billing, f.rates, with_rates(spark, sf, _daily())))
 
 
@@ -690,3 +697,5 @@ def prepare(spark: SparkSession, sf_dir: str) -> None:
     stage_table(spark, sf_dir)
     breakage_stage_table(spark, sf_dir)
     ledger_table(spark, sf_dir)
+    for name in ("ledger_late_match", "ledger_breakage"):
+        own_ledger(spark, sf_dir, name)
