@@ -13,7 +13,8 @@ A phrase of up to ``longest`` words is frequent in its language if it occurs
    frequent, and every frequent one survives.
 2. The same for longer phrases, but only those all of whose pairs survived: a
    phrase is never more frequent than its parts.
-3. Phrases that survived are counted exactly, by their words.
+3. Phrases that survived are counted exactly, by their words: each task packs
+   its counts by hash partition of the phrase, and partitions add them up.
 
 Survivors are known to the tasks as a bit field of fixed size, indexed by the
 upper bits of the hash (each hash partition is a stretch of it).  A bit set by
@@ -47,11 +48,11 @@ FIELD_BITS = 26
 #: How many times the capacity exceeds mass / threshold.
 SLACK = 8
 #: Distinct hashes a task gathers before it sends a summary of them.
-TASK_ENTRIES = 3_000_000
+TASK_ENTRIES = 800_000
 #: Distinct phrases a task counts exactly before it sends their counts.
 TASK_PHRASES = 400_000
 #: Bytes of text per numpy step.
-STEP_BYTES = 8 << 20
+STEP_BYTES = 1 << 20
 #: Counters in one row of a summary at most.
 ROW_ENTRIES = 8192
 
@@ -197,8 +198,10 @@ def _summarised(shift: int, lengths: range, pairs) -> callable:
                 h, c = merged(hashes, counts)
                 hashes, counts, held = [h], [c], len(h)
                 if held > TASK_ENTRIES // 2:
-                    yield from _rows(h, c, shift)
                     hashes, counts, held = [], [], 0
+                    yield from _rows(h, c, shift)
+                    # what Arrow holds on to is another task's memory
+                    pa.default_memory_pool().release_unused()
         if held:
             yield from _rows(*merged(hashes, counts), shift)
     return run
@@ -260,24 +263,75 @@ def survivors(spark: SparkSession, texts: DataFrame, lengths: range, least: int,
 
 
 # ------------------------------------------------------------------ exact counts
-def _counted(longest: int, short, long):
+_PACKED_COUNTS = "part int, lang string, n_words int, phrases binary, counts binary"
+
+
+def _counted(longest: int, short, long, parts: int):
+    """Exact counts of the phrases of a task, packed by language, length and
+    hash of the phrase."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         low, high = (np.frombuffer(x.value, np.uint8) for x in (short, long))
-        counts: dict[tuple[str, int, bytes], int] = {}
+        counts: dict[tuple[str, int], dict[bytes, int]] = {}
         for lang, texts in _by_lang(batches):
             words = Words(lang, texts)
-            counts[lang, 0, b""] = counts.get((lang, 0, b""), 0) + len(words.ids)
+            _add(counts.setdefault((lang, 0), {}), b"", len(words.ids))
             for n, h, whole in words.surviving(longest, low, low):
                 at = np.flatnonzero(whole & _set(low if n < 3 else high, h))
-                for words_of, c in _exact(words, n, at, h[at]):
-                    counts[lang, n, words_of] = counts.get((lang, n, words_of), 0) + c
-            if len(counts) > TASK_PHRASES:
-                yield _count_batch(counts)
+                found = counts.setdefault((lang, n), {})
+                for phrase, c in _exact(words, n, at, h[at]):
+                    _add(found, phrase, c)
+            if sum(map(len, counts.values())) > TASK_PHRASES:
+                yield from _count_rows(counts, parts)
                 counts = {}
-        yield _count_batch(counts)
+        yield from _count_rows(counts, parts)
     return run
 
 
+def _add(counts: dict[bytes, int], phrase: bytes, n: int) -> None:
+    counts[phrase] = counts.get(phrase, 0) + n
+
+
+def _count_rows(counts: dict[tuple[str, int], dict[bytes, int]], parts: int) -> Iterator[pa.RecordBatch]:
+    for (lang, n), found in counts.items():
+        dealt: dict[int, list[bytes]] = {}
+        for phrase in found:
+            dealt.setdefault(xxhash.xxh3_64_intdigest(phrase) % parts, []).append(phrase)
+        rows = [(p, lang, n, b"\n".join(of), np.array([found[x] for x in of], np.int64).tobytes()) for p, of in dealt.items()]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(
+                zip(*rows, strict=True), (pa.int32(), pa.string(), pa.int32(), pa.binary(), pa.binary()), strict=True)],
+                ["part", "lang", "n_words", "phrases", "counts"])
+
+
+def _added_up(least: int):
+    """The packed counts of each hash partition, which come sorted by
+    partition, language and length, as one row per frequent phrase.  A phrase
+    has no line break, so one parts them."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, found = None, {}
+        for batch in batches:
+            done = []
+            for p, lang, n, phrases, counts in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if key != (p, lang, n):
+                    done.append((key, found))
+                    key, found = (p, lang, n), {}
+                for phrase, c in zip(phrases.split(b"\n"), np.frombuffer(counts, np.int64).tolist(), strict=True):
+                    _add(found, phrase, c)
+            yield from _frequent_rows(done, least)
+        yield from _frequent_rows([(key, found)], least)
+    return run
+
+
+def _frequent_rows(done: list[tuple], least: int) -> Iterator[pa.RecordBatch]:
+    for key, found in done:
+        kept = {phrase: c for phrase, c in found.items() if c >= least or key[2] == 0}
+        if kept:
+            yield pa.RecordBatch.from_arrays([
+                pa.array([key[1]] * len(kept), pa.string()), pa.array([key[2]] * len(kept), pa.int32()),
+                pa.array(kept, pa.binary()).cast(pa.string()), pa.array(kept.values(), pa.int64())],
+                ["lang", "n_words", "phrase", "n"])
+
+
 def _exact(words: Words, n: int, at: np.ndarray, h: np.ndarray) -> Iterator[tuple[bytes, int]]:
     """The phrases of n words at these places with their counts."""
     if not len(at):
@@ -298,14 +352,6 @@ def _exact(words: Words, n: int, at: np.ndarray, h: np.ndarray) -> Iterator[tupl
         yield from _exact(words, n, at[~same], h[~same])
 
 
-def _count_batch(counts: dict[tuple[str, int, bytes], int]) -> pa.RecordBatch:
-    keys = list(counts)
-    return pa.RecordBatch.from_arrays([
-        pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()),
-        pa.array([k[2] for k in keys], pa.binary()).cast(pa.string()), pa.array(counts.values(), pa.int64())],
-        ["lang", "n_words", "phrase", "n"])
-
-
 def frequent(spark: SparkSession, docs: DataFrame, longest: int = 5, least: int = 100) -> DataFrame:
     """(lang, n_words, phrase, n): the exact count of every phrase of up to
     ``longest`` words that occurs ``least`` times in its language, and under
@@ -314,9 +360,10 @@ def frequent(spark: SparkSession, docs: DataFrame, longest: int = 5, least: int
     sc = spark.sparkContext
     low = sc.broadcast(survivors(spark, texts, range(1, 3), least).tobytes())
     high = sc.broadcast(survivors(spark, texts, range(3, longest + 1), least, low).tobytes()) if longest > 2 else low
-    rows = texts.mapInArrow(_counted(longest, low, high), "lang string, n_words int, phrase string, n long")
-    counts = rows.groupBy("lang", "n_words", "phrase").agg(F.sum("n").alias("n")).where((F.col("n") >= least) | (F.col("n_words") == 0))
-    out = stored(spark, counts, "phrase-counts")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = texts.mapInArrow(_counted(longest, low, high, parts), _PACKED_COUNTS)
+    dealt = rows.repartition(parts, "part").sortWithinPartitions("part", "lang", "n_words")
+    out = stored(spark, dealt.mapInArrow(_added_up(least), "lang string, n_words int, phrase string, n long"), "phrase-counts")
     low.destroy()
     if longest > 2:
         high.destroy()
