@@ -8,8 +8,9 @@ sequence length.  All sequences but the last are full, so padding is less
 than one sequence in all, and no row is shuffled.
 
 Defined results: a null or empty text is the single end-of-text id; repeated
-rows are packed as often as they occur; the order is that of the scan; an
-empty table packs to nothing.
+rows are packed as often as they occur; pieces of rows without a doc_id have
+none; the order is that of the scan; an empty table packs to nothing.  Columns
+other than doc_id and text are not looked at.
 """
 
 from __future__ import annotations

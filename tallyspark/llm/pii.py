@@ -7,8 +7,8 @@ and context features.  Boosted trees are grown on the driver from one bounded
 table: the distinct feature combinations of all labelled candidates with their
 counts.  Matches of base patterns are labelled by whether they meet a valid
 base span, looser forms only where they do.  The trees
-become one SQL expression; a threshold per generator, calibrated on documents
-held out of the growing, selects the spans to add.  Base spans always stay.
+become one SQL expression; a threshold, calibrated on documents held out of
+the growing, selects the looser spans to add.  Base spans always stay.
 
 Texts are read once: the matches with their surroundings are stored, and
 everything after works on them.  Positions come from running sums over the
@@ -17,8 +17,10 @@ written with possessive loops and anchored starts so that runs of digits or
 letters of any length neither overflow the matcher's stack nor take squared
 time; they match the same strings as the plain forms.
 
-Defined results: null and empty texts have no spans; repeated rows are
-separate rows; a table without candidates adds nothing.
+Defined results: null and empty texts have no spans; repeated rows, also of
+one doc_id or of none, are separate rows; spans of one start go by kind, then
+end; a table without candidates adds nothing, an empty one gives no row.
+Columns other than doc_id and text are not looked at.
 """
 
 from __future__ import annotations

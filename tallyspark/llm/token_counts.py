@@ -12,7 +12,10 @@ so merging never crosses those places: a text is cut there and the counts of
 its segments added.  Counts of short segments are kept in a table of bounded
 size per worker.
 
-Defined results: null and empty texts have no tokens.
+Defined results: null and empty texts have no tokens; a long text is counted
+segment by segment, and a segment without a place to cut by one heap over its
+characters; repeated rows are counted each by itself; an empty table gives no
+row.  Columns other than doc_id and text are not looked at.
 """
 
 from __future__ import annotations
