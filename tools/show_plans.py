@@ -81,7 +81,8 @@ def main() -> None:
     for name in FLOWS:
         df = {**QUERIES, **WRITES}[name](spark, sf)
         df.collect()  # the same query execution now holds the final adaptive plan
-        text = df._jdf.queryExecution().executedPlan().toString()
+        # partition keys are joined by characters that no text file holds
+        text = df._jdf.queryExecution().executedPlan().toString().replace("\0", "\\0").replace("\1", "\\1")
         print(f"## {name}\n")
         print("```")
         for ln in text.splitlines():
