@@ -48,7 +48,7 @@ SEARCHED, CHUNK, REFINED = 1 << 17, 4 << 20, 1 << 20
 #: Names of repeated windows sent to every task at most; beyond that they are
 #: joined.
 SENT_NAMES = 250_000
-_BLOCKS = "gram long, kind long, k1 long, k2 int, lo long, size int"
+_BLOCKS = "gram long, kind long, k1 long, k2 long, lo long, size int"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
@@ -192,7 +192,7 @@ def keyed(docs: DataFrame) -> DataFrame:
     data = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
     doc_id = F.col("doc_id").cast("long")
     return docs.select(F.coalesce(doc_id, F.lit(-1)).alias("k1"),
-                       F.pmod(F.xxhash64(data, doc_id.isNull()), F.lit(2**31 - 1)).cast("int").alias("k2"),
+                       F.xxhash64(data, doc_id.isNull()).alias("k2"),
                        doc_id.alias("doc_id"), data.alias("data"))
 
 

@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tallyspark.llm import suffix_dedup as S
 
@@ -75,6 +76,15 @@ def test_repeated_and_null_ids(spark):
     assert got == Counter((i, *b) for i, b in zip(ids, brute(texts, 16)))
 
 
+def test_texts_of_one_null_id_whose_hashes_share_31_bits(spark):
+    made = spark.range(200_000).select(F.concat(F.lit("text "), F.md5(F.col("id").cast("string"))).alias("text"))
+    named = made.withColumn("k", F.pmod(F.xxhash64(F.col("text").cast("binary"), F.lit(True)), F.lit(2**31 - 1)))
+    a, b = named.groupBy("k").agg(F.sort_array(F.collect_list("text")).alias("t")).where("size(t) > 1").orderBy("k").first().t[:2]
+    texts = [a, b, "more " + a[3:], "none"]
+    got = Counter(tuple(r)[1:] for r in run(spark, texts, 16, 8, [None] * 4))
+    assert got == Counter(brute(texts, 16))
+
+
 def test_production_length(spark):
     rng = random.Random(3)
     prose = lambda n: " ".join("".join(rng.choice(["th", "er", "on", "an"]) for _ in range(3)) for _ in range(n))
