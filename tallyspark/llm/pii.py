@@ -4,11 +4,18 @@ High-recall generators propose overlapping spans: every match of the base
 patterns, valid or not, and looser forms (numbers with other separators,
 addresses with a spelt-out at sign).  Every candidate gets format features
 and context features.  Boosted trees are grown on the driver from one bounded
-table: the distinct feature combinations of all labelled candidates with their
-counts.  Matches of base patterns are labelled by whether they meet a valid
-base span, looser forms only where they do.  The trees
-become one SQL expression; a threshold, calibrated on documents held out of
-the growing, selects the looser spans to add.  Base spans always stay.
+table: the distinct feature combinations of all candidates with their counts.
+The trees become one SQL expression; one threshold per generator, calibrated
+on documents held out of the growing, selects the looser spans to add.  Base
+spans always stay, and matches that fail their base rule are never added.
+
+The label of a candidate is evidence that no feature holds.  A match of a base
+pattern is positive where it meets a valid base span.  A looser number is
+positive where it meets one, where its 12 to 19 digits pass the Luhn check, or
+where its last nine digits are those of a valid span of the same document.  A
+looser address is positive where it meets a valid one or names the domain of a
+valid address anywhere in the table.  All other candidates are negatives, true
+ones without evidence among them, so the calibrated precision is a lower bound.
 
 Texts are read once: the matches with their surroundings are stored, and
 everything after works on them.  Positions come from running sums over the
@@ -52,9 +59,12 @@ _OCTETS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?:\.|$)){4}"
 _CUES = r"(?i)\b(?:call|tel|phone|mobile|fax|contact|mail|e-mail|card|visa|address|ip)\b"
 CONTEXT = 24
 
-FEATURES = ("digits", "chars", "groups", "plus", "parens", "dots", "dashes", "at", "luhn", "octets", "cue", "glued")
+FEATURES = ("which", "digits", "chars", "groups", "plus", "parens", "dots", "dashes", "slashes", "tail", "cue", "named",
+            "glued")
 #: Size of the model; the combination table is bounded by the feature ranges.
 ROUNDS, DEPTH, RATE, PRECISION, FOLDS = 24, 3, 0.4, 0.98, 5
+#: Digits by which a number is known again.
+KNOWN_DIGITS = 9
 
 
 # ------------------------------------------------------------------ candidates
@@ -97,8 +107,9 @@ def luhn(digits: Column) -> Column:
 
 def candidates(found: DataFrame) -> DataFrame:
     """One row per proposed span: rid, doc_id, generator, start, end (code
-    points), base (a valid base span), met (overlaps a valid base span) and
-    the features."""
+    points), base (a valid base span), met (overlaps a valid base span),
+    backed (evidence within the document), domain (of an address) and the
+    features."""
     spans = None
     for g in (*KINDS, *LOOSE):
         part = found.select("rid", "doc_id", F.posexplode(g).alias("i", "match"), f"{g}_gaps").select(
@@ -112,28 +123,35 @@ def candidates(found: DataFrame) -> DataFrame:
              .withColumn("d", F.regexp_replace("match", "[^0-9]", "")))
     digits = F.length("d")
     checked = digits.between(12, 19) & luhn(F.when(digits.between(12, 19), F.col("d")))
-    spans = spans.withColumn("luhn", F.coalesce(checked, F.lit(False)).cast("int")).withColumn(
-        "octets", F.col("match").rlike(_OCTETS).cast("int"))
+    spans = spans.withColumn("luhn", F.coalesce(checked, F.lit(False)))
     valid = (F.when(F.col("generator") == "email", F.lit(True))
-             .when(F.col("generator") == "ip", F.col("octets") == 1)
-             .when(F.col("generator") == "card", F.col("luhn") == 1)
+             .when(F.col("generator") == "ip", F.col("match").rlike(_OCTETS))
+             .when(F.col("generator") == "card", F.col("luhn"))
              .when(F.col("generator") == "phone", digits.between(9, 15)).otherwise(F.lit(False)))
     count = lambda chars: F.least(F.length(F.regexp_replace("match", f"[^{chars}]", "")), F.lit(4))
+    dotted = F.regexp_replace("match", r"\s?[\[(]dot[\])]\s?", ".")
+    domain = F.when(F.col("generator").contains("email"), F.lower(F.regexp_extract(dotted, r"(?:@|at[\])])\s?([A-Za-z0-9.-]+)$", 1)))
     spans = spans.select(
-        "rid", "doc_id", "generator", "start", "end", valid.alias("base"),
+        "rid", "doc_id", "generator", "start", "end", valid.alias("base"), "luhn", domain.alias("domain"),
+        F.when(digits >= KNOWN_DIGITS, F.right("d", F.lit(KNOWN_DIGITS))).alias("known"),
+        (F.array_position(F.array(*map(F.lit, (*KINDS, *LOOSE))), F.col("generator")) - 1).cast("int").alias("which"),
         F.least(digits, F.lit(20)).alias("digits"), F.least(F.floor(size / 4).cast("int"), F.lit(8)).alias("chars"),
         F.least(F.size(F.split("match", "[^0-9]+")), F.lit(6)).alias("groups"),
-        F.col("match").contains("+").cast("int").alias("plus"), F.col("match").contains("(").cast("int").alias("parens"),
-        count(".").alias("dots"), count("-").alias("dashes"),
-        F.col("match").rlike(r"@|[\[(]at[\])]").cast("int").alias("at"), "luhn", "octets",
+        (F.col("match").contains("+") | F.col("left").endswith("+")).cast("int").alias("plus"),
+        F.col("match").contains("(").cast("int").alias("parens"),
+        count(".").alias("dots"), count("-").alias("dashes"), count("/").alias("slashes"),
+        F.col("match").rlike(r"[.)\]]\s?[A-Za-z]{2,}$").cast("int").alias("tail"),
         F.col("left").rlike(_CUES).cast("int").alias("cue"),
+        F.col("left").rlike(r"[:=#]\s?$").cast("int").alias("named"),
         (F.col("left").rlike("[0-9A-Za-z]$") | F.coalesce(F.col("right").rlike("^[0-9A-Za-z]"), F.lit(False)))
         .cast("int").alias("glued"))
     upto = Window.partitionBy("rid").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     after = Window.partitionBy("rid").orderBy("start", "end").rowsBetween(1, Window.unboundedFollowing)
     met = (F.col("base") | F.coalesce(F.max(F.when(F.col("base"), F.col("end"))).over(upto) > F.col("start"), F.lit(False))
            | F.coalesce(F.min(F.when(F.col("base"), F.col("start"))).over(after) < F.col("end"), F.lit(False)))
-    return spans.withColumn("met", met)
+    again = F.max("base").over(Window.partitionBy("rid", "known"))
+    backed = F.col("met") | ((F.col("generator") == "loose_number") & (F.col("luhn") | (F.col("known").isNotNull() & again)))
+    return spans.withColumn("met", met).withColumn("backed", backed).drop("luhn", "known")
 
 
 # ------------------------------------------------------------------ boosted trees
@@ -186,27 +204,51 @@ def _sql(tree) -> str:
 
 def threshold(scored: list[tuple[float, float, float]]) -> float:
     """The lowest margin from which on the held-out share of positives is at
-    least ``PRECISION``; scored: (margin, positives, all)."""
+    least ``PRECISION``; scored: (margin, positives, all).  Candidates of one
+    margin are taken or left together."""
+    ordered = sorted(scored, reverse=True)
     best, s, n = math.inf, 0.0, 0.0
-    for margin, positive, total in sorted(scored, reverse=True):
+    for i, (margin, positive, total) in enumerate(ordered):
         s, n = s + positive, n + total
-        if s >= PRECISION * n:
+        tied = i + 1 < len(ordered) and margin - ordered[i + 1][0] <= 1e-9
+        if not tied and s >= PRECISION * n:
             best = margin
     return best
 
 
-def model(spans: DataFrame) -> tuple[Column, float]:
-    """The margin of a candidate as a column, and the calibrated threshold."""
+def labelled(spans: DataFrame) -> DataFrame:
+    """(held, features, s, n): positives and all per feature combination.
+
+    Addresses are counted per domain before they meet the valid domains, so a
+    domain that very many of them name is one row there."""
     fold = (F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)) == 0).alias("held")
-    # A looser form that meets no valid span is what the model is to judge; it has no label.
-    labelled = spans.where(F.col("met") | F.col("generator").isin(*KINDS))
-    table = (labelled.groupBy(fold, *FEATURES).agg(F.sum(F.col("met").cast("long")).alias("s"), F.count(F.lit(1)).alias("n"))
-             .collect())
+    counts = [F.sum(F.col("backed").cast("long")).alias("s"), F.count(F.lit(1)).alias("n")]
+    spelt = F.col("generator") == "loose_email"
+    others = spans.where(~spelt).groupBy(fold, *FEATURES).agg(*counts)
+    valid = spans.where((F.col("generator") == "email") & F.col("base")).select("domain").distinct()
+    named = spans.where(spelt).groupBy(fold, *FEATURES, "domain").agg(*counts).join(
+        valid.withColumn("valid", F.lit(True)), "domain", "left")
+    named = named.select("held", *FEATURES, F.when(F.col("valid"), F.col("n")).otherwise(F.col("s")).alias("s"), "n")
+    return others.unionByName(named).groupBy("held", *FEATURES).agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
+
+
+def model(spans: DataFrame) -> tuple[Column, dict[str, float], dict[str, tuple[float, float, int]]]:
+    """The margin of a candidate as a column; per generator the calibrated
+    threshold, and its held-out precision, recall (both by the labels) and
+    number of candidates."""
+    table = labelled(spans).collect()
     grown = [r for r in table if not r.held]
     trees = boosted([tuple(r[f] for f in FEATURES) for r in grown], [float(r.s) for r in grown], [float(r.n) for r in grown])
-    held = [(sum(_value(t, [r[f] for f in FEATURES]) for t in trees), r.s, r.n) for r in table if r.held]
+    least, report = {}, {}
+    for which, generator in enumerate((*KINDS, *LOOSE)):
+        held = [(sum(_value(t, [r[f] for f in FEATURES]) for t in trees), r.s, r.n)
+                for r in table if r.held and r.which == which]
+        least[generator] = threshold(held)
+        s, n = (sum(r[k] for r in held if r[0] >= least[generator]) for k in (1, 2))
+        positive = sum(r[1] for r in held)
+        report[generator] = (s / n if n else math.nan, s / positive if positive else math.nan, sum(r[2] for r in held))
     margin = F.expr(" + ".join(_sql(t) for t in trees)) if trees else F.lit(0.0)
-    return margin, threshold(held)
+    return margin, least, report
 
 
 # ------------------------------------------------------------------ spans
@@ -219,8 +261,11 @@ def personal_data(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """doc_id, base counts per kind, base_sha256 and all spans, per row."""
     found = matches_table(spark, docs)
     spans = stored(spark, candidates(found), "pii-candidates")
-    margin, least = model(spans)
-    loose = F.col("generator").isin(*LOOSE) & ~F.col("met") & (margin >= F.lit(least - 1e-9))
+    margin, least, _ = model(spans)
+    bound = F.lit(math.inf)
+    for name in LOOSE:
+        bound = F.when(F.col("generator") == name, F.lit(least[name] - 1e-9)).otherwise(bound)
+    loose = F.col("generator").isin(*LOOSE) & ~F.col("met") & (margin >= bound)
     kept = spans.withColumn("added", loose).where("base OR added")
     kind = F.col("generator")
     for name, (_, reported) in LOOSE.items():
