@@ -170,3 +170,11 @@ def test_audited_and_plain_flows_agree(spark):
     assert audit.counts() == {"unrated": unrated(df, rates, "c", "r").count(), "rated": 2}
     with pytest.raises(ValueError, match="counted already"):
         audit.watch(df, "rated")
+
+
+def test_sessions_bound_what_a_task_reads_and_keep_smaller_sizes(spark, conf):
+    from tallyspark.session import TASK_SIZES, ensure_session_defaults, size_of
+    for given, kept in (("128MB", "16m"), ("8m", "8m")):
+        conf(**{k.replace(".", "__"): given for k in TASK_SIZES})
+        ensure_session_defaults(spark)
+        assert [size_of(spark.conf.get(k)) for k in TASK_SIZES] == [size_of(kept)] * len(TASK_SIZES)
