@@ -178,3 +178,18 @@ def test_sessions_bound_what_a_task_reads_and_keep_smaller_sizes(spark, conf):
         conf(**{k.replace(".", "__"): given for k in TASK_SIZES})
         ensure_session_defaults(spark)
         assert [size_of(spark.conf.get(k)) for k in TASK_SIZES] == [size_of(kept)] * len(TASK_SIZES)
+
+
+@pytest.mark.parametrize("name, day, wide", [("charge", "event_date", "transaction_id"), ("billing", "event_date", "pack_id"),
+                                             ("overusage", "load_date", "transaction_id"), ("voucher_source", "event_date", "dc_order_id")])
+def test_feeds_are_dealt_before_they_are_widened(spark, conf, name, day, wide):
+    from tallyspark.sources.driver import DriverFeeds
+    conf(spark__sql__debug__maxToStringFields="1000")
+    feeds = DriverFeeds(spark, SMOKE_SF, materialize=False)
+    dealt, plain = feeds.derive(name, (day,)), feeds.derive(name)
+    assert dealt.schema == plain.schema
+    assert Counter(map(tuple, dealt.collect())) == Counter(map(tuple, plain.collect()))
+    below = dealt._jdf.queryExecution().optimizedPlan().toString().split("RebalancePartitions")
+    assert len(below) == 2 and f" AS {wide}#" in below[0] and f" AS {wide}#" not in below[1]
+    # the writer need not sort the wide rows again
+    assert f"List({day}#" in dealt._jdf.queryExecution().optimizedPlan().outputOrdering().toString()
