@@ -193,3 +193,21 @@ def test_feeds_are_dealt_before_they_are_widened(spark, conf, name, day, wide):
     assert len(below) == 2 and f" AS {wide}#" in below[0] and f" AS {wide}#" not in below[1]
     # the writer need not sort the wide rows again
     assert f"List({day}#" in dealt._jdf.queryExecution().optimizedPlan().outputOrdering().toString()
+
+
+def test_copies_of_tables_that_lie_by_partition_are_not_shuffled(spark, monkeypatch):
+    from tallyspark.plans import queries as Q
+    dealt = []
+    real = Q.overwrite_partitions
+
+    def watched(df, target, keys, rebalance="partitions", **other):
+        dealt.append((len(keys), rebalance))
+        return real(df, target, keys, rebalance, **other)
+    ledger = Q.ledger_table(spark, SMOKE_SF)
+    monkeypatch.setattr(Q, "overwrite_partitions", watched)
+    kept = ledger.where((F.col("source") != "PAYU") | (F.col("event_date") >= Q.PROMOTE_FROM))
+    assert Q.q_promote_ledger(spark, SMOKE_SF).count() == kept.count()
+    Q.handoff(spark, SMOKE_SF, "ledger_copy_test", lambda: [ledger], list(Q.S.LEDGER_PARTITIONS), rebalance=None)
+    assert dealt == [(3, None)] * 3
+    Q.q_promote_two_keys(spark, SMOKE_SF)
+    assert dealt[3:] == [(2, "partitions")] * 2
