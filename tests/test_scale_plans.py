@@ -211,3 +211,40 @@ def test_copies_of_tables_that_lie_by_partition_are_not_shuffled(spark, monkeypa
     assert dealt == [(3, None)] * 3
     Q.q_promote_two_keys(spark, SMOKE_SF)
     assert dealt[3:] == [(2, "partitions")] * 2
+
+
+def test_usage_rows_are_joined_and_dealt_once_for_all_feeds(spark, conf):
+    """Every usage feed used to join events with customers and to deal them
+    to their days by itself."""
+    from tallyspark.sources.driver import USAGE_DAY, DriverFeeds
+    conf(spark__sql__debug__maxToStringFields="1000", spark__sql__autoBroadcastJoinThreshold="-1")
+    lazy, written = DriverFeeds(spark, SMOKE_SF, materialize=False), DriverFeeds(spark, SMOKE_SF)
+    usage = written._usage_table()
+    assert usage.columns[-1] == USAGE_DAY and usage.count() == lazy.t["events"].count()
+    for name in ("charge", "package", "usage_rejects", "overusage"):
+        day = D.FEED_PARTITIONS.get(name, ("event_date",))
+        df = written.derive(name, day, usage)
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "RebalancePartitions" not in plan and "Join" not in plan
+        assert Counter(map(tuple, df.collect())) == Counter(map(tuple, lazy.derive(name).collect()))
+        assert Counter(map(tuple, written.feed(name).collect())) == Counter(map(tuple, lazy.derive(name).collect()))
+
+
+def test_the_ledger_is_dealt_once(spark, conf):
+    """The roll-ups of a ledger leave its rows in ranges of day and
+    subscriber, and it is written without another shuffle."""
+    from dataclasses import replace
+
+    from tallyspark.plans.queries import LEDGER_PARAMS
+    conf(spark__sql__adaptive__enabled="false", spark__sql__debug__maxToStringFields="1000")
+    feed = feeds(spark, SMOKE_SF).charge
+    feed = feed.union(feed.limit(50)).union(feed.limit(20).withColumns({"msisdn": F.lit(None).cast("string"), "event_date": F.lit(None).cast("date")}))
+    plain, ranged = flows.flow_charge(feed, PARAMS), flows.flow_charge(feed, LEDGER_PARAMS)
+    assert LEDGER_PARAMS == replace(PARAMS, lie_by=LEDGER_PARAMS.lie_by) and ranged.schema == plain.schema
+    assert Counter(map(tuple, ranged.collect())) == Counter(map(tuple, plain.collect()))
+    plan = ranged._jdf.queryExecution().executedPlan().toString()
+    above = plan.split("HashAggregate")
+    assert len(above) == 3 and "Exchange" not in above[1] and "rangepartitioning" in above[2]
+    # a day and tag of the ledger lies in one file, or few where it is large
+    files = ledger_table(spark, SMOKE_SF).select("event_date", "source", F.input_file_name().alias("f")).distinct()
+    assert files.groupBy("event_date", "source").count().where("count > 2").isEmpty()
